@@ -46,12 +46,15 @@ def term_counts(df: DataFrame, id_col: str, words: str = "words") -> DataFrame:
     )
 
 
-def inverse_document_frequency(df: DataFrame, words: str = "words") -> DataFrame:
+def inverse_document_frequency(
+    df: DataFrame, words: str = "words", rows: int | None = None
+) -> DataFrame:
     """`term, df, idf` with idf = ln((rows + 1) / (df + 1)).
 
     Repeats are dropped inside each row, so one shuffle on the term is enough.
+    A row count that is known already saves one scan of the texts.
     """
-    rows = df.select(F.count("*")).scalar()
+    rows = F.lit(rows) if rows is not None else df.select(F.count("*")).scalar()
     return (
         df.select(F.explode(F.array_distinct(words)).alias("term"))
         .groupBy("term")

@@ -9,6 +9,7 @@ from textmill.functions.scores import CONFIDENT_THRESHOLD, surely_safe, surely_t
 from textmill.functions.text import is_content
 from textmill.operators.sample import sample_by_key
 from textmill.operators.words import flagged
+from textmill.session import stage
 
 
 def sampled_positives(
@@ -31,12 +32,14 @@ def confident_conflicts(scored: DataFrame, threshold: float = CONFIDENT_THRESHOL
 
 
 def new_texts(candidates: DataFrame, existing: DataFrame, text: str = "text") -> DataFrame:
-    """The candidates whose text is not among the existing texts.
+    """The candidate rows whose text is not among the existing texts.
 
-    The right side is reduced to distinct texts first, so a text repeated there
-    costs one row; AQE splits a hot text on the left.
+    The existing texts are made distinct and written down first: then both
+    sides of the join are plain shuffles, and AQE can split a text that many
+    candidates share. A text repeated among the existing ones costs one row.
     """
-    return candidates.join(existing.select(text).distinct(), text, "left_anti")
+    known = stage(existing.select(text).distinct(), "known-texts")
+    return candidates.join(known, text, "left_anti")
 
 
 def confident_feedback(
@@ -44,10 +47,11 @@ def confident_feedback(
 ) -> DataFrame:
     """`text, is_destructive` of confident rows whose text is not yet trained on.
 
-    The candidates are grouped by text, so the anti join reuses that
-    partitioning and the texts are shuffled once.
+    Both sides hold each text once, so no text is hot in the join; it reuses
+    the partitioning of that grouping, so the texts are shuffled once.
     """
-    return _labels(new_texts(_confident_texts(scored, threshold), existing))
+    candidates = _confident_texts(scored, threshold)
+    return _labels(candidates.join(existing.select("text").distinct(), "text", "left_anti"))
 
 
 def _confident_texts(scored: DataFrame, threshold: float) -> DataFrame:

@@ -27,7 +27,7 @@ def replicate(df: DataFrame, k: int, id_col: str = "id", shift: str = "rows") ->
     else:
         raise ValueError("shift is 'rows' or 'range'")
     return (
-        df.select("*", _copies(k).cast("bigint").alias("_copy"))
+        df.select("*", _copies(k).alias("_copy"))
         .withColumn(id_col, F.col(id_col) + width * F.col("_copy"))
         .drop("_copy")
     )
@@ -71,9 +71,9 @@ def _within_first(spark: SparkSession, path: str, n: int) -> Column:
     )
     if last is None:
         return F.lit(True)
-    return (F.col("_file") < last["_file"]) | (
-        (F.col("_file") == last["_file"]) & (F.col("_row") < last["_part"])
-    )
+    before = F.col("_file") < last["_file"]
+    # The first comparison alone lets the scan skip the files behind the cut.
+    return (F.col("_file") <= last["_file"]) & (before | (F.col("_row") < last["_part"]))
 
 
 def take_exact(spark: SparkSession, path: str, n: int) -> DataFrame:

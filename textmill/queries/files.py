@@ -33,7 +33,7 @@ def _batches(spark, folder):
     """The documents as raw JSON-array files below date folders."""
     path = staging_path(spark, "batches")
     documents = table(spark, folder, "documents")
-    write_json_batches(documents, path, "doc_id", F.lit("2024-01-01"))
+    write_json_batches(documents, path, F.lit("2024-01-01"))
     return path, documents.schema
 
 

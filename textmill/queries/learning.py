@@ -177,7 +177,7 @@ def medallion_job(spark, folder):
     root = staging_path(spark, "medallion")
     known = f"{root}/training"
     append_training(labelled(spark, folder), known, "base")
-    job = Medallion(spark, root, known, as_of="2024-01-08", prefix="job_")
+    job = Medallion(spark, root, known, as_of="2024-01-12", prefix="job_")
     return job.run(raw_posts(spark, folder), raw_comments(spark, folder))
 
 

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,27 +47,34 @@ def write_day_buckets(df: DataFrame, path: str, day: Column) -> None:
     balanced(rows, "date").write.mode("append").partitionBy("date").text(path)
 
 
-def write_json_batches(
-    df: DataFrame, path: str, key: str, day: Column, rows_per_file: int = 500
-) -> None:
+def write_json_batches(df: DataFrame, path: str, day: Column, rows_per_file: int = 500) -> None:
     """Files of one JSON array each, below `date=` folders, as collectors leave them.
 
-    Rows spread over batches by a digest of their key, so a re-run builds the
-    same batches and no day or key can outgrow one: the number of batches
-    follows the row count.
+    Every task cuts its own rows into arrays, one Arrow batch at a time: no
+    shuffle, and no day or message repeated often can outgrow a file.
     """
-    files = -(-df.count() // rows_per_file) or 1
-    batch = F.pmod(F.xxhash64(key), F.lit(files))
+    rows = df.select(day.alias("date"), F.to_json(F.struct("*")).alias("value"))
     (
-        df.select(F.struct("*").alias("row"), day.alias("date"), batch.alias("batch"))
-        .groupBy("date", "batch")
-        .agg(F.to_json(F.collect_list("row"), {"pretty": "true"}).alias("value"))
+        rows.mapInPandas(_json_arrays(rows_per_file), "date string, batch string, value string")
         .write.mode("append")
         .partitionBy("date", "batch")
         .text(path)
     )
 
 
+def _json_arrays(rows_per_file: int):
+    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            arrays = [
+                (day, uuid.uuid4().hex, "[" + ",\n".join(values[i : i + rows_per_file]) + "]")
+                for day, values in frame.groupby("date", dropna=False)["value"].agg(list).items()
+                for i in range(0, len(values), rows_per_file)
+            ]
+            yield pd.DataFrame(arrays, columns=["date", "batch", "value"])
+
+    return cut
+
+
 def discard(df: DataFrame) -> None:
     """Compute every row and keep none, for timing."""
     df.write.format("noop").mode("overwrite").save()
