@@ -1,0 +1,182 @@
+"""Word reports, stop lists, replication, exact cuts, samples."""
+
+import re
+
+import pytest
+from conftest import final_plan, plan
+from pyspark.sql import functions as F
+
+from textmill.functions.sampling import sample_bound
+from textmill.functions.stopwords import (
+    REPORT_STOP_WORDS,
+    forest_stop_words,
+    spark_stop_words,
+)
+from textmill.functions.text import (
+    ANY_SCRIPT,
+    REPORT_LETTERS,
+    letter_words,
+    lower_space_words,
+    space_words,
+    stripped_words,
+)
+from textmill.operators.replicate import grow_to, replicate, replicate_dates, take_exact
+from textmill.operators.sample import sample_by_key, sample_sizes
+from textmill.operators.words import (
+    INLINE_STOP_WORDS,
+    count_words,
+    flagged,
+    frequent_letter_runs,
+    frequent_lower_pieces,
+    frequent_pieces,
+    frequent_stripped,
+    top_words,
+)
+
+TEXTS = [
+    "Просто  слово, Слово! ёлка",
+    "word-word Wörter 😀x \U00010400y",
+    "такие слова; слова",
+    "",
+    "\ttabs\nand lines a1b2",
+]
+
+
+@pytest.fixture
+def texts(rows):
+    return rows([(t,) for t in TEXTS], "text string")
+
+
+def _words(df, split):
+    return [list(r[0]) for r in df.select(split(F.col("text"))).collect()]
+
+
+def test_splits_equal_plain_python(texts):
+    assert _words(texts, space_words) == [t.split(" ") for t in TEXTS]
+    assert _words(texts, lower_space_words) == [t.lower().split(" ") for t in TEXTS]
+    others = f"[^{REPORT_LETTERS}]"
+    assert _words(texts, letter_words) == [re.split(others + "+", t.lower()) for t in TEXTS]
+    per_piece = [[re.sub(others, "", w).lower() for w in t.split(" ")] for t in TEXTS]
+    assert _words(texts, stripped_words) == per_piece
+
+
+def test_any_script_keeps_accents(rows):
+    df = rows([("Ёлка, café 12 naïve",)], "text string")
+    assert _words(df, lambda t: letter_words(t, ANY_SCRIPT)) == [["ёлка", "café", "naïve"]]
+    assert _words(df, lambda t: stripped_words(t, ANY_SCRIPT)) == [["ёлка", "café", "", "naïve"]]
+
+
+def test_ties_are_ordered_by_word(rows):
+    df = rows([("bbbbb aaaaa ccccc ccccc",)], "text string")
+    assert [tuple(r) for r in frequent_pieces(df, "text", 2).collect()] == [
+        ("ccccc", 2),
+        ("aaaaa", 1),
+    ]
+
+
+def test_reports(texts):
+    lower = frequent_lower_pieces(texts, "text", REPORT_STOP_WORDS, 100)
+    assert "просто" not in {r.word for r in lower.collect()}
+    runs = {r.word: r["count"] for r in frequent_letter_runs(texts, "text").collect()}
+    assert runs["слово"] == 2 and runs["word"] == 2 and runs["лка"] == 1
+    stripped = {r.word: r["count"] for r in frequent_stripped(texts, "text", []).collect()}
+    assert stripped["слово"] == 2 and stripped["wordword"] == 1
+
+
+def test_long_stop_list_is_joined(texts):
+    many = [f"w{i}" for i in range(INLINE_STOP_WORDS)] + ["слово"]
+    short = count_words(texts, "text", stripped_words, 3, ["слово"])
+    long = count_words(texts, "text", stripped_words, 3, many)
+    assert sorted(map(tuple, short.collect())) == sorted(map(tuple, long.collect()))
+    assert "LeftAnti" in plan(long) and "LeftAnti" not in plan(short)
+
+
+def test_report_plan_has_one_shuffle_and_no_full_sort(texts):
+    text = plan(frequent_stripped(flagged(texts.withColumn("is_toxic_pred", F.lit(1.0))), "text", []))
+    assert text.count("Exchange hashpartitioning") == 1
+    assert "partial_count" in text and "TakeOrderedAndProject" in text
+    assert "Python" not in text
+
+
+def test_flag_reaches_the_scan(texts, spark, tmp_path):
+    texts.withColumn("is_toxic_pred", F.lit(1.0)).write.parquet(str(tmp_path / "p"))
+    report = frequent_stripped(flagged(spark.read.parquet(str(tmp_path / "p"))), "text", [])
+    assert "EqualTo(is_toxic_pred,1.0)" in plan(report)
+
+
+def test_stop_words_come_from_spark(spark):
+    from pyspark.ml.feature import StopWordsRemover
+
+    for language in ("english", "russian"):
+        assert spark_stop_words(language) == StopWordsRemover.loadDefaultStopWords(language)
+    assert forest_stop_words()[-10:] == [
+        "просто", "только", "вообще", "ну", "это", "как", "так", "в", "на", "и",
+    ]
+
+
+def test_top_words_limits(texts):
+    assert top_words(count_words(texts, "text"), 3).count() == 3
+
+
+def test_replicate_shifts_by_rows_or_by_range(rows):
+    df = rows([(1, "a"), (5, "b"), (7, "c")], "id bigint, t string")
+    by_rows = sorted(r.id for r in replicate(df, 3).collect())
+    assert by_rows == sorted(i + 3 * c for i in (1, 5, 7) for c in range(3))
+    assert len(set(by_rows)) < 9  # gaps make copies clash, as the rule has it
+    by_range = [r.id for r in replicate(df, 3, shift="range").collect()]
+    assert len(set(by_range)) == 9 and min(by_range) == 1
+    assert replicate(df.drop("id"), 4).count() == 12
+    text = plan(replicate(df, 5))
+    assert "Join" not in text and "hashpartitioning" not in text
+    with pytest.raises(ValueError):
+        replicate(df, 2, shift="other")
+
+
+def test_replicate_dates(rows):
+    df = rows([(1, "2024-03-01")], "id int, date string")
+    copies = replicate_dates(df, 3)
+    assert dict(copies.dtypes) == {"id": "int", "date": "date", "is_synthetic": "boolean"}
+    assert sorted(str(r.date) for r in copies.collect()) == [
+        "2024-02-28",
+        "2024-02-29",
+        "2024-03-01",
+    ]
+
+
+def test_exact_cuts_and_growth(spark, tmp_path):
+    path = str(tmp_path / "p")
+    spark.range(0, 103, 1, 5).write.parquet(path)
+    for n in (0, 1, 20, 21, 50, 102, 103, 500):
+        part = [r.id for r in take_exact(spark, path, n).collect()]
+        assert len(part) == len(set(part)) == min(n, 103)
+    smaller = {r.id for r in take_exact(spark, path, 30).collect()}
+    assert smaller < {r.id for r in take_exact(spark, path, 60).collect()}
+    for n in (7, 103, 250, 1030):
+        copies = [r["count"] for r in grow_to(spark, path, n).groupBy("id").count().collect()]
+        assert sum(copies) == n and max(copies) - (min(copies) if n >= 103 else 1) <= 1
+    assert "SinglePartition" not in plan(take_exact(spark, path, 50))
+
+
+def test_growing_nothing_is_an_error(spark, tmp_path):
+    spark.range(0).write.parquet(str(tmp_path / "e"))
+    with pytest.raises(ValueError):
+        grow_to(spark, str(tmp_path / "e"), 5)
+
+
+def test_samples_are_nested_and_repeatable(spark):
+    df = spark.range(20000)
+    picked = {f: {r.id for r in sample_by_key(df, "id", f).collect()} for f in (0.1, 0.3, 0.7, 1.0)}
+    assert picked[0.1] < picked[0.3] < picked[0.7] < picked[1.0]
+    for f, ids in picked.items():
+        assert abs(len(ids) / 20000 - f) < 0.02
+    assert {r.id for r in sample_by_key(df.repartition(3), "id", 0.1).collect()} == picked[0.1]
+    other = {r.id for r in sample_by_key(df, "id", 0.1, seed=7).collect()}
+    assert other != picked[0.1]
+    sizes = {r.fraction: r.rows for r in sample_sizes(df, "id", (0.1, 0.3, 1.0)).collect()}
+    assert sizes == {0.1: len(picked[0.1]), 0.3: len(picked[0.3]), 1.0: 20000}
+    with pytest.raises(ValueError):
+        sample_bound(1.5)
+
+
+def test_final_plan_of_counts(texts):
+    assert "HashAggregate" in final_plan(count_words(texts, "text"))

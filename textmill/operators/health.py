@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,7 +55,7 @@ def _counts(spark: SparkSession, names: Sequence[str]) -> dict[str, int] | None:
         return {}
     try:
         return {r["table"]: r["rows"] for r in row_counts(spark, names).collect()}
-    except PySparkException:
+    except (PySparkException, Py4JJavaError):
         return None
 
 

@@ -4,9 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+_TYPES = {
+    "bigint": T.LongType(),
+    "int": T.IntegerType(),
+    "double": T.DoubleType(),
+    "boolean": T.BooleanType(),
+    "string": T.StringType(),
+}
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+
+def _struct(columns: str) -> T.StructType:
+    """`name type, ...` as a schema; needs no running session."""
+    pairs = (column.split() for column in columns.split(","))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 # Both key spellings of the collector's files: (post_id, channel_id) and (id, chat_id).
