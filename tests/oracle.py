@@ -5,12 +5,14 @@ Usage: python tests/oracle.py [table folder] [query name ...]
 
 from __future__ import annotations
 
+import os
 import sys
 import time
 from collections import Counter
 from pathlib import Path
 
 import duckdb
+from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
@@ -59,11 +61,14 @@ def compare(spark, con, name: str, folder: str) -> str | None:
 
 
 def main(folder: str, names: list[str]) -> int:
-    from textmill.session import session
-
-    spark = session(
-        "oracle", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
-                                 "spark.ui.showConsoleProgress": "false"}
+    # A plain session: the queries must not depend on our own settings.
+    spark = (
+        SparkSession.builder.master("local[8]")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.session.timeZone", os.environ.get("CHECK_TIME_ZONE", "UTC"))
+        .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(folder)

@@ -42,7 +42,7 @@ class Retained:
     rows_kept: int
     rows_expired: int
     rows_undated: int
-    rewritten: bool
+    changed: bool
 
 
 def retain(
@@ -53,16 +53,34 @@ def retain(
     days: int = RETENTION_DAYS,
     date_col: str = "date",
 ) -> Retained:
-    """Drop expired rows from a table.
+    """Take expired rows out of a table; it stays untouched if none expire.
 
-    Only if rows expire, the kept ones are written to a new place and the table
-    is pointed there. A table partitioned by the date column reads and writes
-    the kept partitions only.
+    A table partitioned by the date column alone loses its expired partitions,
+    and no row is read or written. Any other table is published anew with the
+    kept rows.
     """
     table = require_table(spark, name)
     counts = expiry(table, as_of, days, date_col).first().asDict()
     stale = counts["rows_expired"] > 0
     if stale:
         parts = tuple(c.name for c in spark.catalog.listColumns(name) if c.isPartition)
-        publish(recent(table, as_of, days, date_col), name, root, parts, keep_empty=True)
-    return Retained(**counts, rewritten=stale)
+        if parts == (date_col,):
+            _drop_partitions(table, name, as_of, days, date_col)
+        else:
+            kept = recent(table, as_of, days, date_col)
+            publish(kept, name, root, parts, keep_empty=True)
+    return Retained(**counts, changed=stale)
+
+
+def _drop_partitions(table: DataFrame, name: str, as_of: str, days: int, date_col: str) -> None:
+    expired = table.select(date_col).filter(~within_days(F.col(date_col), as_of, days)).distinct()
+    # One row per expired day: a part of the partition list the catalog holds.
+    specs = ", ".join(f"PARTITION (`{date_col}` = {_quoted(r[0])})" for r in expired.collect())
+    table.sparkSession.sql(f"ALTER TABLE {name} DROP IF EXISTS {specs}")
+
+
+def _quoted(value) -> str:
+    if value is None:
+        return "null"
+    escaped = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"

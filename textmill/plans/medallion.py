@@ -22,7 +22,6 @@ from textmill.operators.clean import clean_comments, clean_posts, training_rows
 from textmill.operators.feedback import confident_feedback, sampled_positives
 from textmill.operators.replicate import replicate
 from textmill.operators.retention import RETENTION_DAYS, retain
-from textmill.session import cached
 from textmill.sinks.files import append_training
 from textmill.sinks.publish import publish
 from textmill.sources.tables import require_table
@@ -75,8 +74,7 @@ class Medallion:
         )
 
     def _fit(self, stages) -> PipelineModel:
-        with cached(training_rows(self.spark.read.parquet(self.training))) as rows:
-            return train(stages, rows)
+        return train(stages, training_rows(self.spark.read.parquet(self.training)))
 
     def class_model(self) -> int:
         """Logistic regression over the replicated comments; a sample feeds back.

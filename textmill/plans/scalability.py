@@ -30,7 +30,7 @@ def training_times(
             part = sample_by_key(rows, key, fraction)
             count = part.count()
             start = time.perf_counter()
-            train(logistic(BENCH_FEATURES), part.select("text", "label"))
+            train(logistic(BENCH_FEATURES), part)
             seconds = time.perf_counter() - start
             results.append((count, seconds, count / seconds))
     return training.sparkSession.createDataFrame(

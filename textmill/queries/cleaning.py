@@ -131,11 +131,11 @@ def event_expiry(spark, folder):
        from events""",
 )
 def event_days(spark, folder):
-    seconds = F.unix_seconds(F.col("ts").cast("timestamp"))
-    utc_offset = F.unix_seconds(F.lit("1970-01-01 00:00:00").cast("timestamp"))
+    days = F.datediff(F.to_date("ts"), F.lit("1970-01-01").cast("date")).cast("bigint")
+    seconds = days * 86400 + F.hour("ts") * 3600 + F.minute("ts") * 60
     return table(spark, folder, "events").select(
         "event_id",
         day_key(text=F.col("ts").cast("string")).alias("from_text"),
-        day_key(seconds=seconds - utc_offset).alias("from_seconds"),
+        day_key(seconds=seconds).alias("from_seconds"),
         day_key(moment=F.col("ts")).alias("from_moment"),
     )

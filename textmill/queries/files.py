@@ -46,8 +46,7 @@ def json_array_files(spark, folder):
 @query("raw_file_ages")
 def file_ages(spark, folder):
     path, _ = _batches(spark, folder)
-    now = datetime.now(UTC).replace(tzinfo=None)
-    return raw_file_ages(spark, path, now).select("bytes", "keep")
+    return raw_file_ages(spark, path, datetime.now(UTC)).select("bytes", "keep")
 
 
 @query(

@@ -24,8 +24,8 @@ from textmill.plans.medallion import Medallion
 from textmill.plans.scalability import scoring_times, training_times
 from textmill.queries import query
 from textmill.queries.inputs import labelled, messages, raw_comments, raw_posts, table, training
-from textmill.session import cached, staging_path
-from textmill.sinks.files import append_training, write_parquet
+from textmill.session import staging_path
+from textmill.sinks.files import append_training, spread, write_parquet
 from textmill.streaming.incremental import new_files, run_available, score_stream
 
 
@@ -58,7 +58,7 @@ def _digest(df, words):
 
 
 def _tokens(spark, folder):
-    return tokenize(table(spark, folder, "documents").select("doc_id", "text"))
+    return tokenize(spread(table(spark, folder, "documents").select("doc_id", "text")))
 
 
 @query("tokens", _digest_sql(_tokens_sql()))
@@ -118,8 +118,7 @@ def idf_of_terms(spark, folder):
 
 
 def _fitted(spark, folder, stages):
-    with cached(training(spark, folder).select("text", "label")) as rows:
-        return train(stages, rows)
+    return train(stages, training(spark, folder))
 
 
 @query("class_predictions")

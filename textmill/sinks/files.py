@@ -16,6 +16,18 @@ def balanced(df: DataFrame, *columns: str) -> DataFrame:
     return df.hint("rebalance", *columns)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Even parts for work that is heavy per row, if the input is small.
+
+    A table of fewer scan splits than cores leaves cores idle. Larger tables
+    are left as they are: their splits keep all cores busy without a shuffle.
+    """
+    spark = df.sparkSession
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    split = 128 * 1024 * 1024
+    return balanced(df) if int(str(size)) < spark.sparkContext.defaultParallelism * split else df
+
+
 def write_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
     """Replace the files at a path."""
     writer = df.write.mode("overwrite")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 def raw_file_ages(spark: SparkSession, path: str, as_of: datetime, days: int = 7) -> DataFrame:
     """`path, modified, bytes, keep` of every file; contents are not read."""
-    first = F.lit(as_of - timedelta(days=days))
+    first = F.timestamp_seconds(F.lit((as_of - timedelta(days=days)).timestamp()))
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     )
@@ -27,5 +27,5 @@ def modified_after(as_of: datetime, days: int = 7) -> dict[str, str]:
 
     The reader compares strictly, so the bound lies one second earlier.
     """
-    first = as_of - timedelta(days=days, seconds=1)
+    first = (as_of - timedelta(days=days, seconds=1)).astimezone(UTC)
     return {"modifiedAfter": first.strftime("%Y-%m-%dT%H:%M:%S"), "timeZone": "UTC"}
