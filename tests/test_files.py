@@ -244,6 +244,7 @@ def test_health(spark, rows, tmp_path):
     }
     names = {r.tableName for r in list_tables(spark).collect()}
     assert {"h_ok", "h_empty", "h_broken"} <= names
+    assert {r.table for r in health(spark).collect()} == names
     spark.sql("DROP TABLE h_broken")
 
 

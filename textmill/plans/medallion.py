@@ -97,7 +97,7 @@ class Medallion:
         scored = predict_score(model, self.table("silver_comments"))
         rows = self._publish(scored, "gold_rf_predictions")
         if rows:
-            # The training table is read and then appended to, hence fixed first.
+            # The files are listed here, before the append adds to them.
             known = self.spark.read.parquet(self.training).select("text")
             fed = confident_feedback(self.table("gold_rf_predictions"), known)
             append_training(fed, self.training, "forest")

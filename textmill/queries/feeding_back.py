@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from textmill.functions.scores import surely_safe, surely_toxic
 from textmill.operators.feedback import (
     confident_conflicts,
     confident_feedback,
@@ -9,10 +10,9 @@ from textmill.operators.feedback import (
     new_texts,
     sampled_positives,
 )
-from textmill.operators.sample import sample_by_key, sample_sizes
-from textmill.functions.sampling import sample_bound
+from textmill.operators.sample import TRAINING_FRACTIONS, sample_by_key, sample_sizes
 from textmill.queries import query
-from textmill.queries.inputs import SCORED_SQL, labelled, scored, table
+from textmill.queries.inputs import SCORED_SQL, digest_in_sample_sql, labelled, scored, table
 
 _CONTENT = "lower(trim(original_content)) <> 'nan' and length(trim(original_content)) > 1"
 _TOXIC = "toxicity_score > cast(0.85 as double)"
@@ -27,12 +27,6 @@ _CANDIDATES = f"""
 _KNOWN = "select d.text from documents d join labels l using (doc_id)"
 
 
-def _in_sample(key: str, fraction: float) -> str:
-    return (
-        f"substr(md5('42:' || cast({key} as varchar)), 1, 6) < '{sample_bound(fraction)}'"
-    )
-
-
 @query("decisions", f"select id, toxicity_score, is_toxic_pred from ({SCORED_SQL}) p")
 def decisions(spark, folder):
     return scored(spark, folder).select("id", "toxicity_score", "is_toxic_pred")
@@ -74,7 +68,7 @@ def texts_not_trained_on(spark, folder):
 @query(
     "sampled_feedback",
     f"""select original_content as text, 1 as is_destructive from ({SCORED_SQL}) p
-        where is_toxic_pred = 1 and {_in_sample("id", 0.1)}""",
+        where is_toxic_pred = 1 and {digest_in_sample_sql("id", 0.1)}""",
 )
 def feedback_of_sampled(spark, folder):
     predictions = scored(spark, folder).withColumnRenamed("original_content", "text")
@@ -83,7 +77,7 @@ def feedback_of_sampled(spark, folder):
 
 @query(
     "key_sample",
-    f"select doc_id, lang from documents where {_in_sample('doc_id', 0.3)}",
+    f"select doc_id, lang from documents where {digest_in_sample_sql('doc_id', 0.3)}",
 )
 def key_sample(spark, folder):
     documents = table(spark, folder, "documents").select("doc_id", "lang")
@@ -94,9 +88,9 @@ def key_sample(spark, folder):
     "nested_sample_sizes",
     "\nunion all\n".join(
         f"""select cast({f} as double) as fraction,
-                   count(*) filter (where {_in_sample("doc_id", f) if f < 1 else "true"}) as rows
+                   count(*) filter (where {digest_in_sample_sql("doc_id", f)}) as rows
             from documents"""
-        for f in (0.1, 0.3, 0.5, 0.7, 1.0)
+        for f in TRAINING_FRACTIONS
     ),
 )
 def nested_sample_sizes(spark, folder):
@@ -110,8 +104,6 @@ def nested_sample_sizes(spark, folder):
         from ({SCORED_SQL}) p""",
 )
 def thresholds(spark, folder):
-    from textmill.functions.scores import surely_safe, surely_toxic
-
     score = F.col("toxicity_score")
     certainty = (
         F.when(surely_toxic(score), "toxic").when(surely_safe(score), "safe").otherwise("unsure")

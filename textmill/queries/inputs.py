@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textmill.functions.sampling import sample_bound
 from textmill.functions.scores import decision
 from textmill.functions.text import one_line
 
@@ -63,6 +64,14 @@ SCORED_SQL = """
 """
 
 
+def digest_in_sample_sql(key: str, fraction: float) -> str:
+    """The sampling rule in SQL."""
+    if fraction >= 1.0:
+        return "true"
+    digest = f"substr(md5('42:' || cast({key} as varchar)), 1, 6)"
+    return f"{digest} < '{sample_bound(fraction)}'"
+
+
 def raw_posts(spark: SparkSession, folder: str) -> DataFrame:
     """The documents as raw posts. Some arrive under the other key spelling."""
     chat = F.lit(-1000000000000) - F.substring("source", 4, 10).cast("bigint")

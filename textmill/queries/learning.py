@@ -20,10 +20,19 @@ from textmill.operators.features import (
     term_counts,
     tokenize,
 )
+from textmill.operators.sample import TRAINING_FRACTIONS
 from textmill.plans.medallion import Medallion
 from textmill.plans.scalability import scoring_times, training_times
 from textmill.queries import query
-from textmill.queries.inputs import labelled, messages, raw_comments, raw_posts, table, training
+from textmill.queries.inputs import (
+    digest_in_sample_sql,
+    labelled,
+    messages,
+    raw_comments,
+    raw_posts,
+    table,
+    training,
+)
 from textmill.session import staging_path
 from textmill.sinks.files import append_training, spread, write_parquet
 from textmill.streaming.incremental import new_files, run_available, score_stream
@@ -171,7 +180,22 @@ def streamed_score_agreement(spark, folder):
     return batch.join(streamed, "id").select("id", agrees)
 
 
-@query("medallion_job")
+@query(
+    "medallion_job",
+    """with newest as (
+           select conv_id, max(turn) as turn from conversations group by conv_id
+       ), sizes as (
+           select (select count(*) from documents) as posts, count(*) as comments,
+                  count(*) filter (where date '2024-01-01' + cast(turn as integer)
+                                         >= date '2024-01-12' - 7) as recent
+           from newest
+       )
+       select 'clean' as stage, 'OK' as status, posts + comments as rows from sizes
+       union all select 'replicate', 'OK', 3 * posts + 5 * comments from sizes
+       union all select 'class_model', 'OK', 5 * comments from sizes
+       union all select 'score_model', 'OK', comments from sizes
+       union all select 'retain', 'OK', recent from sizes""",
+)
 def medallion_job(spark, folder):
     root = staging_path(spark, "medallion")
     known = f"{root}/training"
@@ -180,16 +204,34 @@ def medallion_job(spark, folder):
     return job.run(raw_posts(spark, folder), raw_comments(spark, folder))
 
 
-@query("training_times")
+def _timed(times):
+    """Times differ from run to run; the row counts do not."""
+    return times.select("rows", (F.col("time_sec") > 0).alias("timed"))
+
+
+@query(
+    "training_times",
+    "\nunion all\n".join(
+        f"""select count(*) as rows, true as timed from documents join labels using (doc_id)
+            where {digest_in_sample_sql("doc_id", f)}"""
+        for f in TRAINING_FRACTIONS
+    ),
+)
 def times_of_training(spark, folder):
-    return training_times(training(spark, folder), "doc_id")
+    return _timed(training_times(training(spark, folder), "doc_id"))
 
 
-@query("scoring_times")
+@query(
+    "scoring_times",
+    "\nunion all\n".join(
+        f"""select count(*) * 2 * {tenths} // 10 as rows, true as timed from documents"""
+        for tenths in (2, 4, 6, 8, 10)
+    ),
+)
 def times_of_scoring(spark, folder):
     """Scores the documents grown to twice their number."""
     path = staging_path(spark, "messages")
     write_parquet(messages(spark, folder), path)
     model = _fitted(spark, folder, logistic(2000))
     rows = 2 * table(spark, folder, "documents").count()
-    return scoring_times(spark, model, path, rows)
+    return _timed(scoring_times(spark, model, path, rows))
