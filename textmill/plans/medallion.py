@@ -22,6 +22,7 @@ from textmill.operators.clean import clean_comments, clean_posts, training_rows
 from textmill.operators.feedback import confident_feedback, sampled_positives
 from textmill.operators.replicate import replicate
 from textmill.operators.retention import RETENTION_DAYS, retain
+from textmill.schemas import TRAINING
 from textmill.sinks.files import append_training
 from textmill.sinks.publish import publish
 from textmill.sources.tables import require_table
@@ -29,6 +30,15 @@ from textmill.sources.tables import require_table
 # Copies of each cleaned table.
 COMMENT_COPIES = 5
 POST_COPIES = 3
+# The tables the job leaves.
+TABLES = (
+    "silver_posts",
+    "silver_comments",
+    "gold_synthetic_posts",
+    "gold_synthetic_comments",
+    "gold_toxic_predictions",
+    "gold_rf_predictions",
+)
 
 
 @dataclass
@@ -74,7 +84,7 @@ class Medallion:
         )
 
     def _fit(self, stages) -> PipelineModel:
-        return train(stages, training_rows(self.spark.read.parquet(self.training)))
+        return train(stages, training_rows(self.spark.read.schema(TRAINING).parquet(self.training)))
 
     def class_model(self) -> int:
         """Logistic regression over the replicated comments; a sample feeds back.
@@ -98,7 +108,7 @@ class Medallion:
         rows = self._publish(scored, "gold_rf_predictions")
         if rows:
             # The files are listed here, before the append adds to them.
-            known = self.spark.read.parquet(self.training).select("text")
+            known = self.spark.read.schema(TRAINING).parquet(self.training).select("text")
             fed = confident_feedback(self.table("gold_rf_predictions"), known)
             append_training(fed, self.training, "forest")
         return rows

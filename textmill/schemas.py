@@ -34,7 +34,12 @@ COMMENTS = _struct(
     "id bigint, post_id bigint, chat_id bigint, author_name string, date string, text string"
 )
 TRAINING = _struct("text string, is_destructive int, origin string")
-SCORED = _struct(
-    "id bigint, author_name string, original_content string, "
-    "toxicity_score double, is_toxic_pred double"
+# What the incremental clean appends: every version of a message, marked and dated.
+POST_VERSIONS = _struct(
+    "id bigint, chat_id bigint, date string, text string, views bigint, ts bigint, "
+    "version string, day string"
+)
+COMMENT_VERSIONS = _struct(
+    "id bigint, post_id bigint, chat_id bigint, author_name string, date string, "
+    "text string, ts bigint, version string, day string"
 )
