@@ -32,7 +32,7 @@ def connect(folder: str):
 
 
 _KINDS = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double",
-          "BOOLEAN": "boolean", "HUGEINT": "bigint", "INT128": "bigint"}
+          "BOOLEAN": "boolean"}
 
 
 def compare(spark, con, name: str, folder: str) -> str | None:

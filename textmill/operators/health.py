@@ -29,8 +29,9 @@ def location(spark: SparkSession, name: str) -> str | None:
 def health(spark: SparkSession, names: Sequence[str] | None = None) -> DataFrame:
     """`table, status, rows, location` with status OK, EMPTY, MISSING or ERROR.
 
-    Without names, the tables of the current database are checked. All tables are counted by one query; only if that fails are they counted
-    one by one, to find the broken ones.
+    Without names, the tables of the current database are checked. All tables
+    are counted by one query; only if that fails are they counted one by one,
+    to find the broken ones.
     """
     if names is None:
         names = [r["tableName"] for r in list_tables(spark).collect()]

@@ -12,6 +12,22 @@ from textmill.queries import query
 from textmill.queries.inputs import labelled, raw_comments, raw_posts, table
 
 
+POSTS_SQL = r"""
+    select doc_id as id, -1000000000000 - cast(substr(source, 4) as bigint) as chat_id,
+           '2024-01-01' as date, trim(regexp_replace(text, '[\n\r]', ' ', 'g')) as text,
+           n_chars as views
+    from documents"""
+COMMENTS_SQL = r"""
+    select id, post_id, chat_id, author_name, date, text from (
+        select conv_id as id, conv_id as post_id, -1000000000000 as chat_id,
+               role as author_name,
+               cast(date '2024-01-01' + cast(turn as integer) as varchar) as date,
+               trim(regexp_replace(text, '[\n\r]', ' ', 'g')) as text,
+               row_number() over (partition by conv_id order by turn desc) as rn
+        from conversations) s
+    where rn = 1"""
+
+
 @query(
     "normalized_texts",
     r"""select doc_id, trim(regexp_replace(text, '[\n\r]', ' ', 'g')) as text from documents""",
@@ -22,28 +38,12 @@ def normalized_texts(spark, folder):
     )
 
 
-@query(
-    "cleaned_posts",
-    r"""select doc_id as id, -1000000000000 - cast(substr(source, 4) as bigint) as chat_id,
-               '2024-01-01' as date, trim(regexp_replace(text, '[\n\r]', ' ', 'g')) as text,
-               n_chars as views
-        from documents""",
-)
+@query("cleaned_posts", POSTS_SQL)
 def cleaned_posts(spark, folder):
     return clean_posts(raw_posts(spark, folder))
 
 
-@query(
-    "cleaned_comments",
-    r"""select id, post_id, chat_id, author_name, date, text from (
-            select conv_id as id, conv_id as post_id, -1000000000000 as chat_id,
-                   role as author_name,
-                   cast(date '2024-01-01' + cast(turn as integer) as varchar) as date,
-                   trim(regexp_replace(text, '[\n\r]', ' ', 'g')) as text,
-                   row_number() over (partition by conv_id order by turn desc) as rn
-            from conversations) s
-        where rn = 1""",
-)
+@query("cleaned_comments", COMMENTS_SQL)
 def cleaned_comments(spark, folder):
     return clean_comments(raw_comments(spark, folder))
 

@@ -9,8 +9,22 @@ from textmill.functions.text import one_line
 from textmill.operators.clean import training_rows
 from textmill.operators.health import health, previews, row_counts, sample_rows
 from textmill.operators.retention import retain
+from textmill.plans.cycle import (
+    clean_new_comments,
+    clean_new_posts,
+    current_comments,
+    current_posts,
+)
 from textmill.queries import query
-from textmill.queries.inputs import labelled, line_form, scored, table
+from textmill.queries.cleaning import COMMENTS_SQL, POSTS_SQL
+from textmill.queries.inputs import (
+    labelled,
+    line_form,
+    raw_comments,
+    raw_posts,
+    scored,
+    table,
+)
 from textmill.session import staging_path
 from textmill.sinks.files import (
     append_training_csv,
@@ -119,7 +133,8 @@ def parquet_files(spark, folder):
 
 @query(
     "published_table",
-    "select lang, count(*) as rows, sum(n_chars) as chars from documents group by lang",
+    "select lang, count(*) as rows, cast(sum(n_chars) as bigint) as chars "
+    "from documents group by lang",
 )
 def published_table(spark, folder):
     publish(table(spark, folder, "documents"), "published_documents", staging_path(spark, "tables"))
@@ -231,3 +246,21 @@ def streamed_clean_recent(spark, folder):
     path = staging_path(spark, "stream")
     run_available(cleaned.select("event_id", "props"), f"{path}/rows", f"{path}/progress")
     return spark.read.schema("event_id bigint, props string").parquet(f"{path}/rows")
+
+
+@query("cycled_posts", POSTS_SQL)
+def cycled_posts(spark, folder):
+    """The documents as raw files, taken in by the incremental clean."""
+    path = staging_path(spark, "cycle")
+    write_json_batches(raw_posts(spark, folder), f"{path}/raw", F.lit("2024-01-01"))
+    clean_new_posts(spark, f"{path}/raw", path)
+    return current_posts(spark, path)
+
+
+@query("cycled_comments", COMMENTS_SQL)
+def cycled_comments(spark, folder):
+    """All turns of a conversation as versions of a comment, in files by date."""
+    path = staging_path(spark, "cycle")
+    write_json_batches(raw_comments(spark, folder), f"{path}/raw", F.col("date"))
+    clean_new_comments(spark, f"{path}/raw", path)
+    return current_comments(spark, path)

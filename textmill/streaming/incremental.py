@@ -11,6 +11,9 @@ from pyspark.sql import types as T
 
 from textmill.functions.text import one_line
 
+# Raw files hold one collector batch each, so a step stays small.
+FILES_PER_STEP = 100_000
+
 
 def new_files(
     spark: SparkSession, path: str, schema: T.StructType, form: str = "parquet", **options: str
@@ -20,8 +23,15 @@ def new_files(
 
 
 def new_json_arrays(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A stream over raw files of one JSON array each, at any depth."""
-    options = {"multiLine": "true", "recursiveFileLookup": "true"}
+    """A stream over raw files of one JSON array each, at any depth.
+
+    A backlog is taken in steps of a bounded number of files.
+    """
+    options = {
+        "multiLine": "true",
+        "recursiveFileLookup": "true",
+        "maxFilesPerTrigger": str(FILES_PER_STEP),
+    }
     return new_files(spark, path, schema, "json", **options)
 
 
