@@ -35,7 +35,7 @@ from textmill.sinks.files import (
 from textmill.sinks.publish import point_table, publish
 from textmill.sources.json_files import read_json_arrays, read_json_lines
 from textmill.sources.label_lines import read_label_lines
-from textmill.sources.raw_files import raw_file_ages
+from textmill.sources.raw_files import modified_after, raw_file_ages
 from textmill.sources.tables import read_parquet, require_table
 from textmill.sources.training_csv import read_training_csv
 from textmill.streaming.incremental import clean_stream, new_files, run_available
@@ -57,6 +57,14 @@ def json_array_files(spark, folder):
     return read_json_arrays(spark, path, schema)
 
 
+@query("recent_raw_files", "select doc_id, n_chars from documents")
+def recent_raw_files(spark, folder):
+    """The rows of files not older than seven days, which all just written are."""
+    path, schema = _batches(spark, folder)
+    recent = modified_after(datetime.now(UTC))
+    return read_json_arrays(spark, path, schema, **recent).select("doc_id", "n_chars")
+
+
 @query("raw_file_ages")
 def file_ages(spark, folder):
     path, _ = _batches(spark, folder)

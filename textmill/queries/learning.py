@@ -143,6 +143,22 @@ def score_predictions(spark, folder):
     return scores.select("id", "author_name", "toxicity_score", "is_toxic_pred")
 
 
+@query(
+    "score_agreement",
+    """select doc_id as id, true as in_range, true as decided
+       from documents where text is not null""",
+)
+def score_agreement(spark, folder):
+    """Every document has one score from 0 to 1 and the decision that follows from it."""
+    model = _fitted(spark, folder, forest())
+    score = F.col("toxicity_score")
+    return predict_score(model, messages(spark, folder)).select(
+        "id",
+        score.between(0, 1).alias("in_range"),
+        (F.col("is_toxic_pred") == (score > 0.40).cast("double")).alias("decided"),
+    )
+
+
 @query(
     "reloaded_model_agreement",
     "select doc_id as id, true as agrees from documents where text is not null",

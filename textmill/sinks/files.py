@@ -5,10 +5,12 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+_JSON_ARRAY = pa.schema([(name, pa.string()) for name in ("date", "batch", "value")])
+
 
 def balanced(df: DataFrame, *columns: str) -> DataFrame:
     """Even output files: AQE joins small partitions and splits large ones,
@@ -67,7 +69,7 @@ def write_json_batches(df: DataFrame, path: str, day: Column, rows_per_file: int
     """
     rows = df.select(day.alias("date"), F.to_json(F.struct("*")).alias("value"))
     (
-        rows.mapInPandas(_json_arrays(rows_per_file), "date string, batch string, value string")
+        rows.mapInArrow(_json_arrays(rows_per_file), "date string, batch string, value string")
         .write.mode("append")
         .partitionBy("date", "batch")
         .text(path)
@@ -75,14 +77,21 @@ def write_json_batches(df: DataFrame, path: str, day: Column, rows_per_file: int
 
 
 def _json_arrays(rows_per_file: int):
-    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            days: dict[str | None, list[str]] = {}
+            for row in batch.to_pylist():
+                days.setdefault(row["date"], []).append(row["value"])
             arrays = [
-                (day, uuid.uuid4().hex, "[" + ",\n".join(values[i : i + rows_per_file]) + "]")
-                for day, values in frame.groupby("date", dropna=False)["value"].agg(list).items()
+                {
+                    "date": day,
+                    "batch": uuid.uuid4().hex,
+                    "value": "[" + ",\n".join(values[i : i + rows_per_file]) + "]",
+                }
+                for day, values in days.items()
                 for i in range(0, len(values), rows_per_file)
             ]
-            yield pd.DataFrame(arrays, columns=["date", "batch", "value"])
+            yield pa.RecordBatch.from_pylist(arrays, _JSON_ARRAY)
 
     return cut
 

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
-def read_json_arrays(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_json_arrays(
+    spark: SparkSession, path: str, schema: T.StructType, **options: str
+) -> DataFrame:
     """Files that each hold one JSON array, at any depth below the path.
 
     Folder names are not read as columns: a file may lie under another date
@@ -16,6 +18,7 @@ def read_json_arrays(spark: SparkSession, path: str, schema: T.StructType) -> Da
         spark.read.schema(schema)
         .option("multiLine", True)
         .option("recursiveFileLookup", True)
+        .options(**options)
         .json(path)
     )
 
