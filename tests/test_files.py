@@ -6,19 +6,27 @@ import time
 from datetime import UTC, datetime, timedelta
 
 import pytest
-from conftest import final_plan
+from conftest import final_plan, plan
 from pyspark.sql import functions as F
 
 from textmill.functions.dates import day_key
 from textmill.operators.clean import training_rows
 from textmill.operators.health import health, list_tables, location, previews, sample_rows
 from textmill.operators.retention import expiry, retain
-from textmill.session import cached, shared_root, stage, staging_path
+from textmill.session import (
+    cached,
+    input_bytes,
+    shared_root,
+    sized_shuffles,
+    stage,
+    staging_path,
+)
 from textmill.sinks.files import (
     append_training,
     append_training_csv,
     balanced,
     discard,
+    spread,
     write_day_buckets,
     write_json_batches,
 )
@@ -285,6 +293,31 @@ def test_staging_uses_the_shared_folder(spark, rows):
     assert [tuple(r) for r in staged.collect()] == [(1, None)]
 
 
+def test_shuffles_are_sized_by_the_input(spark):
+    setting = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    before = spark.conf.get(setting, None)
+    for size, parts in ((0, usual), (10 * 2**40, 20_000), (2**39, 12_288), (2**60, usual)):
+        with sized_shuffles(spark, size) as n:
+            assert n == parts and spark.conf.get(setting) == str(parts)
+        assert spark.conf.get(setting, None) == before
+    # A plan made meanwhile starts with that many partitions, and AQE joins them.
+    with sized_shuffles(spark, 2**32):
+        grouped = spark.range(1000).groupBy(F.col("id") % 7).count()
+        assert "hashpartitioning" in plan(grouped) and ", 96)" in plan(grouped)
+        assert len(grouped.collect()) == 7
+
+
+def test_only_small_inputs_are_spread(spark, rows, tmp_path):
+    rows([(1,)], "id int").write.parquet(str(tmp_path / "p"))
+    small = spark.read.parquet(str(tmp_path / "p"))
+    assert input_bytes(small) < 10_000
+    assert "REBALANCE" in plan(spread(small))
+    assert input_bytes(rows([(1,)], "id int")) > 2**55
+    large = spark.range(2**40)
+    assert "REBALANCE" not in plan(spread(large))
+
+
 def test_discard(spark):
     start = time.perf_counter()
     discard(spark.range(10))

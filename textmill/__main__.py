@@ -23,7 +23,7 @@ from textmill.operators.words import flagged, frequent_stripped
 from textmill.plans.cycle import clean_new_comments, clean_new_posts, score_new_comments
 from textmill.plans.medallion import TABLES, Medallion
 from textmill.schemas import RAW_COMMENTS, RAW_POSTS
-from textmill.session import session
+from textmill.session import input_bytes, session, sized_shuffles
 from textmill.sinks.files import append_training
 from textmill.sources.json_files import read_json_arrays
 from textmill.sources.label_lines import read_label_lines
@@ -98,7 +98,8 @@ def parser() -> argparse.ArgumentParser:
 def main(arguments: list[str] | None = None) -> DataFrame:
     args = parser().parse_args(arguments)
     report = args.work(session("textmill"), args)
-    report.show(1000, truncate=False)
+    with sized_shuffles(report.sparkSession, input_bytes(report)):
+        report.show(1000, truncate=False)
     return report
 
 

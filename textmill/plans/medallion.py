@@ -23,6 +23,7 @@ from textmill.operators.feedback import confident_feedback, sampled_positives
 from textmill.operators.replicate import replicate
 from textmill.operators.retention import RETENTION_DAYS, retain
 from textmill.schemas import TRAINING
+from textmill.session import input_bytes, sized_shuffles
 from textmill.sinks.files import append_training
 from textmill.sinks.publish import publish
 from textmill.sources.tables import require_table
@@ -135,9 +136,10 @@ class Medallion:
     def run(self, raw_posts: DataFrame, raw_comments: DataFrame) -> DataFrame:
         """`stage, status, rows`. Nothing runs on uncleaned tables; retention
         runs even if scoring fails."""
-        cleaned = self._stage("clean", lambda: self.clean(raw_posts, raw_comments))
-        copied = self._stage("replicate", self.replicate, cleaned)
-        self._stage("class_model", self.class_model, copied)
-        self._stage("score_model", self.score_model, cleaned)
-        self._stage("retain", self.retain, cleaned)
+        with sized_shuffles(self.spark, input_bytes(raw_posts) + input_bytes(raw_comments)):
+            cleaned = self._stage("clean", lambda: self.clean(raw_posts, raw_comments))
+            copied = self._stage("replicate", self.replicate, cleaned)
+            self._stage("class_model", self.class_model, copied)
+            self._stage("score_model", self.score_model, cleaned)
+            self._stage("retain", self.retain, cleaned)
         return self.spark.createDataFrame(self.report, "stage string, status string, rows bigint")

@@ -9,6 +9,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textmill.session import input_bytes
+
+# Spark's default size of a scan split.
+SPLIT_BYTES = 128 * 1024 * 1024
+
 _JSON_ARRAY = pa.schema([(name, pa.string()) for name in ("date", "batch", "value")])
 
 
@@ -24,10 +29,8 @@ def spread(df: DataFrame) -> DataFrame:
     A table of fewer scan splits than cores leaves cores idle. Larger tables
     are left as they are: their splits keep all cores busy without a shuffle.
     """
-    spark = df.sparkSession
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    split = 128 * 1024 * 1024
-    return balanced(df) if int(str(size)) < spark.sparkContext.defaultParallelism * split else df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return balanced(df) if input_bytes(df) < cores * SPLIT_BYTES else df
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
