@@ -30,3 +30,17 @@ def test_entry(spark):
 
 def test_every_sql_has_its_query():
     assert set(contract.oracle_sql()) <= set(contract.queries())
+
+
+def test_registry_loads_without_spark_home(monkeypatch, tmp_path):
+    """Names and SQL need no file of Spark's installation and no session."""
+    import subprocess
+    import sys
+
+    code = (
+        "import pyspark, __spark_entry__ as e; pyspark.__file__ = 'nowhere/__init__.py'; "
+        "q, s = e.queries(), e.oracle_sql(); assert len(q) >= 68 and set(s) <= set(q); "
+        "from pyspark import SparkContext; assert SparkContext._active_spark_context is None"
+    )
+    root = Path(contract.__file__).parent
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True, timeout=120)
