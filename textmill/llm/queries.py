@@ -12,7 +12,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.llm import byte_pairs
+from textmill.llm import (
+    byte_pairs,
+    decontamination,
+    edit_fingerprints,
+    language_id,
+    language_model,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -40,6 +46,51 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _digest(column: str) -> F.Column:
+    return F.sha2(F.col(column).cast("binary"), 256)
+
+
+def _remainder(divisor: int, value: int) -> F.Column:
+    """Whether the checksum of the id leaves this remainder."""
+    return F.crc32(F.col("doc_id").cast("string")) % divisor == value
+
+
+@_query("op1_language_id")
+def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document, learned from those that are not held out."""
+    documents = _table(spark, folder, "documents")
+    held_out = _remainder(3, 1)
+    model = language_id.fit(documents.filter(~held_out))
+    found = language_id.predict(documents, model)
+    return found.select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score", "rejected"
+    )
+
+
+@_query("op4_language_model")
+def op4_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    """Log10 probability of every document under a context tree of the training documents."""
+    return language_model.score(_table(spark, folder, "documents"), _remainder(7, 2))
+
+
+@_query("op8_decontamination")
+def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of every document that lie in a window of a benchmark item."""
+    found = decontamination.contaminated(
+        _table(spark, folder, "documents"), _table(spark, folder, "benchmark")
+    )
+    items = F.concat_ws(",", "items").alias("items")
+    return found.withColumn("items", items).select(
+        "doc_id", "n_words", "n_hit", "n_items", _digest("items").alias("items_sha256"), "contaminated", "near_items"
+    )
+
+
+@_query("op9_edit_fingerprints")
+def op9_edit_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    return edit_fingerprints.fingerprint_edits(_table(spark, folder, "documents"))
+
+
 @_query("op7_byte_pairs")
 def op7_byte_pairs(spark: SparkSession, folder: str) -> DataFrame:
     """Encode and decode every document's text."""
