@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from textmill.llm.buffers import bounded_slices, list_array, string_array, text_buffer
 
 # Pieces a task remembers; the cache starts anew beyond that, which changes no result.
-CACHED_PIECES = 1 << 19
+CACHED_PIECES = 1 << 18
 # Stands for a pair that is no token.
 MISSING = 1 << 60
 # Longer pieces are merged with a heap, shorter ones by scanning.
@@ -362,3 +362,19 @@ def decode(df: DataFrame, vocabulary: bytes, id_col: str = "doc_id") -> DataFram
     kind = narrow.schema["_id"].dataType.simpleString()
     out = narrow.mapInArrow(run, f"_id {kind}, ids array<int>, decoded binary")
     return out.withColumnRenamed("_id", id_col)
+
+
+def round_trip(df: DataFrame, vocabulary: bytes, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """The id with `ids` and the bytes `decoded` from them, encoded and decoded in the same task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        merger = _merger(vocabulary)
+        for batch in bounded_slices(batches, "_text", 1 << 20):
+            ids, offsets = encode_batch(batch.column("_text"), merger)
+            whole = decode_batch(ids, offsets, merger).cast(pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("_id"), ids, whole], ["_id", "ids", "decoded"])
+
+    narrow = df.select(F.col(id_col).alias("_id"), F.col(text).alias("_text"))
+    kind = narrow.schema["_id"].dataType.simpleString()
+    out = narrow.mapInArrow(run, f"_id {kind}, ids array<int>, decoded binary")
+    return out.withColumnRenamed("_id", id_col)

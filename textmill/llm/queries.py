@@ -18,6 +18,7 @@ from textmill.llm import (
     edit_fingerprints,
     language_id,
     language_model,
+    near_duplicates,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,12 +92,17 @@ def op9_edit_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return edit_fingerprints.fingerprint_edits(_table(spark, folder, "documents"))
 
 
+@_query("op6_near_duplicates")
+def op6_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """Connected groups of documents of which 85 in 100 shingles are common."""
+    return near_duplicates.groups(_table(spark, folder, "documents"))
+
+
 @_query("op7_byte_pairs")
 def op7_byte_pairs(spark: SparkSession, folder: str) -> DataFrame:
     """Encode and decode every document's text."""
     vocabulary = byte_pairs.read_vocabulary(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
-    encoded = byte_pairs.encode(_table(spark, folder, "documents"), vocabulary)
-    return byte_pairs.decode(encoded, vocabulary).select(
+    return byte_pairs.round_trip(_table(spark, folder, "documents"), vocabulary).select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
