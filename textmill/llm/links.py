@@ -1,8 +1,10 @@
-"""Connected groups from pairs, with DataFrame joins only."""
+"""Connected groups from pairs and from buckets, with DataFrame joins only."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textmill.session import stage
@@ -39,3 +41,51 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
             return labels_next
         labels = labels_next
     raise RuntimeError("components did not settle")
+
+
+def _pair_up(one: DataFrame, two: DataFrame, marks: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Both frames with `node`, `root` and the marks renamed for the sides a and b."""
+    return tuple(
+        df.select("bucket", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "root", *marks)])
+        for df, side in ((one, "a"), (two, "b"))
+    )
+
+
+def link_buckets(
+    buckets: DataFrame, marks: list[str], alike: Column, confirm: Callable[[DataFrame], DataFrame], rounds: int = 3
+) -> tuple[DataFrame, DataFrame]:
+    """Labels and links of all confirmed pairs that share a bucket, less those inside a group already joined.
+
+    `buckets` has bucket, node and the nodes' `marks`; `alike` is a condition on
+    marks_a and marks_b that any link meets; `confirm` keeps the links among
+    pairs `a, b`. In each round every bucket has one leader, another one each
+    time, that its members of other groups are compared with. At last all members
+    of different groups meet, so no link between groups is lost; a group's own
+    pairs are never made.
+    """
+    labels: DataFrame | None = None
+    links: DataFrame | None = None
+
+    def labelled() -> DataFrame:
+        if labels is None:
+            return buckets.withColumn("root", F.col("node"))
+        return buckets.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+    for turn in range(rounds + 1):
+        nodes = labelled()
+        spread = nodes.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+        mixed = stage(spread.filter("low <> high").select("bucket"), "mixed")
+        open_nodes = stage(nodes.join(mixed, "bucket"), "open")
+        lead = open_nodes
+        if turn < rounds:
+            first = open_nodes.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node")).alias("x"))
+            lead = open_nodes.join(first.select("bucket", F.col("x.node").alias("node")), ["bucket", "node"])
+        one, two = _pair_up(lead, open_nodes, marks)
+        pairs = one.join(two, "bucket").filter((F.col("root_a") != F.col("root_b")) & alike)
+        if turn == rounds:
+            pairs = pairs.filter("node_a < node_b")
+        pairs = pairs.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
+        found = stage(confirm(pairs), "found")
+        links = found if links is None else links.union(found)
+        labels = components(links)
+    return labels, links

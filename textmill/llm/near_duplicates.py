@@ -39,7 +39,7 @@ from textmill.llm.buffers import (
     word_hashes,
     word_spans,
 )
-from textmill.llm.links import components
+from textmill.llm.links import link_buckets
 from textmill.session import stage
 
 WORDS = 5
@@ -51,7 +51,6 @@ SKETCH_BITS = 256
 # Bits by which the sketches of pairs at the threshold differ: 2 x 80 x 0.15 = 24 samples
 # differ on average, deviation below 7; 60 samples, or 48 bits, are five deviations off.
 MOST_DIFFERENT_BITS = 48
-LEADER_ROUNDS = 3
 
 _SAMPLES = BANDS * ROWS
 _RANDOM = np.random.default_rng(85)
@@ -133,17 +132,10 @@ def _confirm(similarity: tuple[int, int]):
     return run
 
 
-def _different(a: str, b: str) -> F.Column:
-    """Bits in which two sketches differ."""
-    return sum(F.bit_count(F.col(f"{a}{i}").bitwiseXOR(F.col(f"{b}{i}"))) for i in range(4))
-
-
-def _sketched(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
-    """The pairs `a, b` whose sketches may belong to similar sets."""
-    for side in "ab":
-        own = sketches.select(F.col("_id").alias(side), *[F.col(f"s{i}").alias(f"{side}{i}") for i in range(4)])
-        pairs = pairs.join(own, side)
-    return pairs.filter(_different("a", "b") <= MOST_DIFFERENT_BITS).select("a", "b")
+def _alike() -> F.Column:
+    """Whether two sketches may belong to similar sets."""
+    bits = (F.bit_count(F.col(f"s{i}_a").bitwiseXOR(F.col(f"s{i}_b"))) for i in range(4))
+    return sum(bits) <= MOST_DIFFERENT_BITS
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, similarity: tuple[int, int]) -> DataFrame:
@@ -173,54 +165,15 @@ def groups(
     heads = signed_docs.join(
         classes.select(F.col("rep").alias("_id"), "d1", "d2"), ["_id", "d1", "d2"], "left_semi"
     ).dropDuplicates(["_id"])
-    heads = stage(heads.select("_id", "bands", "s0", "s1", "s2", "s3"), "heads")
-    sketches = heads.drop("bands")
-    placed = heads.select(F.explode("bands").alias("bucket"), F.col("_id").alias("node"))
+    marks = [f"s{i}" for i in range(4)]
+    placed = stage(heads.select(F.explode("bands").alias("bucket"), F.col("_id").alias("node"), *marks), "placed")
     shared = placed.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
-    buckets = stage(placed.join(shared, "bucket").select("bucket", "node"), "buckets")
+    buckets = stage(placed.join(shared, "bucket").select("bucket", "node", *marks), "buckets")
     wanted = buckets.select(F.col("node").alias("_id")).distinct()
     texts = narrow.join(wanted, "_id").dropDuplicates(["_id"])
     texts = stage(texts, "texts")
 
-    labels: DataFrame | None = None
-    links: DataFrame | None = None
-
-    def merge(found: DataFrame) -> None:
-        nonlocal labels, links
-        found = stage(found, "found")
-        links = found if links is None else links.union(found)
-        labels = components(links)
-
-    def labelled(rows: DataFrame) -> DataFrame:
-        if labels is None:
-            return rows.withColumn("root", F.col("node"))
-        return rows.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
-
-    for turn in range(LEADER_ROUNDS):
-        # One node leads a bucket, by a hash that differs from round to round.
-        open_nodes = labelled(buckets)
-        lead = open_nodes.groupBy("bucket").agg(
-            F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "root")).alias("lead"),
-            F.min("root").alias("low"), F.max("root").alias("high"),
-        ).filter("low <> high").select("bucket", "lead.node", "lead.root")
-        lead = lead.select("bucket", F.col("node").alias("a"), F.col("root").alias("root_a"))
-        pairs = open_nodes.join(lead, "bucket").filter("root <> root_a")
-        pairs = pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
-        merge(_confirmed(_sketched(pairs, sketches), texts, similarity))
-
-    open_nodes = labelled(buckets)
-    mixed = open_nodes.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    mixed = mixed.filter("low <> high").select("bucket")
-    rest = stage(
-        open_nodes.join(mixed, "bucket", "left_semi").join(sketches.withColumnRenamed("_id", "node"), "node"), "open"
-    )
-    one = rest.select("bucket", F.col("node").alias("a"), F.col("root").alias("root_a"), *[F.col(f"s{i}").alias(f"a{i}") for i in range(4)])
-    two = rest.select("bucket", F.col("node").alias("b"), F.col("root").alias("root_b"), *[F.col(f"s{i}").alias(f"b{i}") for i in range(4)])
-    across = one.join(two, "bucket").filter(
-        (F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & (_different("a", "b") <= MOST_DIFFERENT_BITS)
-    )
-    merge(_confirmed(across.select("a", "b").distinct(), texts, similarity))
-
+    labels, _ = link_buckets(buckets, marks, _alike(), lambda pairs: _confirmed(pairs, texts, similarity))
     roots = labels.select(F.col("node").alias("rep"), "root")
     component = members.join(roots, "rep", "left").select("_id", F.coalesce("root", "rep").alias("root"))
     found = signed_docs.select("_id", "n_shingles").join(component.distinct(), "_id", "left")

@@ -18,6 +18,8 @@ from textmill.llm import (
     edit_fingerprints,
     language_id,
     language_model,
+    license_scan,
+    line_duplicates,
     near_duplicates,
 )
 
@@ -68,6 +70,12 @@ def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@_query("op2_license_scan", license_scan.oracle_sql())
+def op2_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """License phrases and template notices of every document."""
+    return license_scan.scan(_table(spark, folder, "documents"))
+
+
 @_query("op4_language_model")
 def op4_language_model(spark: SparkSession, folder: str) -> DataFrame:
     """Log10 probability of every document under a context tree of the training documents."""
@@ -108,3 +116,11 @@ def op7_byte_pairs(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@_query("op10_line_duplicates")
+def op10_line_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's text without its repeated and nearly repeated lines."""
+    documents = _table(spark, folder, "documents").select("doc_id", "text")
+    kept = line_duplicates.drop_repeats(documents, removed="n_removed")
+    return kept.select("doc_id", "n_removed", F.length("text").cast("bigint").alias("n_chars"), "text")
