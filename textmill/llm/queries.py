@@ -21,6 +21,7 @@ from textmill.llm import (
     license_scan,
     line_duplicates,
     near_duplicates,
+    warc,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,6 +77,13 @@ def op2_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.scan(_table(spark, folder, "documents"))
 
 
+@_query("op3_warc")
+def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page's record, written to archives and read back."""
+    records = warc.archive(_table(spark, folder, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
+
+
 @_query("op4_language_model")
 def op4_language_model(spark: SparkSession, folder: str) -> DataFrame:
     """Log10 probability of every document under a context tree of the training documents."""
