@@ -21,6 +21,7 @@ from textmill.llm import (
     license_scan,
     line_duplicates,
     near_duplicates,
+    quality,
     warc,
 )
 
@@ -108,6 +109,12 @@ def op9_edit_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return edit_fingerprints.fingerprint_edits(_table(spark, folder, "documents"))
 
 
+@_query("op5_quality")
+def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of every document from its text, its source and the source's part in its language."""
+    return quality.classify(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 @_query("op6_near_duplicates")
 def op6_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     """Connected groups of documents of which 85 in 100 shingles are common."""
