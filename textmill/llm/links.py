@@ -52,13 +52,13 @@ def _pair_up(one: DataFrame, two: DataFrame, marks: list[str]) -> tuple[DataFram
 
 
 def link_buckets(
-    buckets: DataFrame, marks: list[str], alike: Column, confirm: Callable[[DataFrame], DataFrame], rounds: int = 3
+    buckets: DataFrame, marks: DataFrame, alike: Column, confirm: Callable[[DataFrame], DataFrame], rounds: int = 3
 ) -> tuple[DataFrame, DataFrame]:
     """Labels and links of all confirmed pairs that share a bucket, less those inside a group already joined.
 
-    `buckets` has bucket, node and the nodes' `marks`; `alike` is a condition on
-    marks_a and marks_b that any link meets; `confirm` keeps the links among
-    pairs `a, b`. In each round every bucket has one leader, another one each
+    `buckets` has bucket and node, `marks` a node's other columns; `alike` is a
+    condition on those columns, with _a and _b after their names, that any link
+    meets; `confirm` keeps the links among pairs `a, b`. In each round every bucket has one leader, another one each
     time, that its members of other groups are compared with. At last all members
     of different groups meet, so no link between groups is lost; a group's own
     pairs are never made.
@@ -75,12 +75,12 @@ def link_buckets(
         nodes = labelled()
         spread = nodes.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"))
         mixed = stage(spread.filter("low <> high").select("bucket"), "mixed")
-        open_nodes = stage(nodes.join(mixed, "bucket"), "open")
+        open_nodes = stage(nodes.join(mixed, "bucket").join(marks, "node"), "open")
         lead = open_nodes
         if turn < rounds:
             first = open_nodes.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)), "node")).alias("x"))
             lead = open_nodes.join(first.select("bucket", F.col("x.node").alias("node")), ["bucket", "node"])
-        one, two = _pair_up(lead, open_nodes, marks)
+        one, two = _pair_up(lead, open_nodes, [c for c in marks.columns if c != "node"])
         pairs = one.join(two, "bucket").filter((F.col("root_a") != F.col("root_b")) & alike)
         if turn == rounds:
             pairs = pairs.filter("node_a < node_b")

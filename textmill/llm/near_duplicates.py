@@ -2,9 +2,13 @@
 
 Texts with the same set of shingles form a class, told by 128 bits, and one
 document stands for it. Bands of the representatives' MinHash samples propose
-pairs. A pair's odd sketches (the samples folded into a bitmap of parities)
-estimate its similarity from the bits in which they differ; pairs that are
-clearly below the threshold go. What is left is confirmed on the full sets.
+pairs. A pair's odd sketches are bitmaps of parities into which samples are
+folded; the bits in which they differ estimate the similarity. One holds the
+MinHash samples and drops pairs far below the threshold. One holds every
+shingle: two sets differ in at least as many shingles as bits, so it drops most
+pairs just below the threshold and never a link; of texts of thousands of words
+its bits are too few to tell, and the first one decides. What is left is
+confirmed on the full sets.
 
 A bucket never emits all its pairs. In some rounds each bucket is compared with
 one leader, another one each time, and what links joins a group at once. After
@@ -15,7 +19,8 @@ copies costs as many pairs as it has members.
 Defined cases: null texts and texts without words have no shingles and link
 with nothing, as do rows with a null id (their component_id is null); a text of
 fewer words than a shingle is one shingle; rows that repeat an id share its
-result; an empty table gives an empty table.
+result, and if their words differ any of them stands for it; an empty table
+gives an empty table.
 """
 
 from __future__ import annotations
@@ -51,8 +56,10 @@ SKETCH_BITS = 256
 # Bits by which the sketches of pairs at the threshold differ: 2 x 80 x 0.15 = 24 samples
 # differ on average, deviation below 7; 60 samples, or 48 bits, are five deviations off.
 MOST_DIFFERENT_BITS = 48
+SET_BITS = 512
 
 _SAMPLES = BANDS * ROWS
+_SKETCH = [*(f"s{i}" for i in range(SKETCH_BITS // 64)), *(f"f{i}" for i in range(SET_BITS // 64))]
 _RANDOM = np.random.default_rng(85)
 _FACTORS = _RANDOM.integers(1, 2**63, _SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADDENDS = _RANDOM.integers(0, 2**63, _SAMPLES, dtype=np.uint64)
@@ -87,8 +94,17 @@ def odd_sketches(found: np.ndarray) -> np.ndarray:
     return np.packbits(bits & 1, axis=1).view(np.uint64)
 
 
+def set_sketches(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Parities of where all shingles fall [set, eight 64-bit words]."""
+    sizes = np.diff(bounds)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    places = owner * SET_BITS + (mix(values) % np.uint64(SET_BITS)).astype(np.int64)
+    bits = np.bincount(places, minlength=len(sizes) * SET_BITS).astype(np.uint8) & 1
+    return np.packbits(bits.reshape(-1, SET_BITS), axis=1).view(np.uint64)
+
+
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["_id", "n_shingles", "d1", "d2", "bands", "s0", "s1", "s2", "s3"]
+    names = ["_id", "n_shingles", "d1", "d2", "bands", *_SKETCH]
     for batch in bounded_slices(batches, "_text"):
         values, bounds = shingle_sets(batch.column("_text"))
         sizes = np.diff(bounds)
@@ -110,7 +126,8 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lists = np.concatenate([[0], np.cumsum(np.where(full, BANDS, 0))])
         yield pa.RecordBatch.from_arrays(
             [batch.column("_id"), pa.array(sizes), *[pa.array(signed(d)) for d in digests],
-             list_array(signed(keys.reshape(-1)), lists), *[pa.array(signed(w)) for w in words]],
+             list_array(signed(keys.reshape(-1)), lists), *[pa.array(signed(w)) for w in words],
+             *[pa.array(signed(np.ascontiguousarray(w))) for w in set_sketches(values, bounds).T]],
             names,
         )
 
@@ -132,10 +149,17 @@ def _confirm(similarity: tuple[int, int]):
     return run
 
 
-def _alike() -> F.Column:
-    """Whether two sketches may belong to similar sets."""
-    bits = (F.bit_count(F.col(f"s{i}_a").bitwiseXOR(F.col(f"s{i}_b"))) for i in range(4))
-    return sum(bits) <= MOST_DIFFERENT_BITS
+def _alike(similarity: tuple[int, int]) -> F.Column:
+    """Whether two sketches may belong to similar sets.
+
+    Sets of sizes n and m that differ in d elements have p/w of their union in
+    common if d (w + p) <= (w - p) (n + m).
+    """
+    part, whole = similarity
+    bits = {c: F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in _SKETCH}
+    folded, full = (sum(n for c, n in bits.items() if c[0] == kind) for kind in "sf")
+    most = (whole - part) * (F.col("n_shingles_a") + F.col("n_shingles_b"))
+    return (full * (whole + part) <= most) & (folded <= MOST_DIFFERENT_BITS)
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, similarity: tuple[int, int]) -> DataFrame:
@@ -154,7 +178,7 @@ def groups(
         narrow.mapInArrow(
             _signatures,
             "_id bigint, n_shingles bigint, d1 bigint, d2 bigint, bands array<bigint>, "
-            "s0 bigint, s1 bigint, s2 bigint, s3 bigint",
+            + ", ".join(f"{c} bigint" for c in _SKETCH),
         ),
         "signatures",
     )
@@ -165,15 +189,15 @@ def groups(
     heads = signed_docs.join(
         classes.select(F.col("rep").alias("_id"), "d1", "d2"), ["_id", "d1", "d2"], "left_semi"
     ).dropDuplicates(["_id"])
-    marks = [f"s{i}" for i in range(4)]
-    placed = stage(heads.select(F.explode("bands").alias("bucket"), F.col("_id").alias("node"), *marks), "placed")
+    placed = stage(heads.select(F.explode("bands").alias("bucket"), F.col("_id").alias("node")), "placed")
     shared = placed.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
-    buckets = stage(placed.join(shared, "bucket").select("bucket", "node", *marks), "buckets")
+    buckets = stage(placed.join(shared, "bucket").select("bucket", "node"), "buckets")
     wanted = buckets.select(F.col("node").alias("_id")).distinct()
     texts = narrow.join(wanted, "_id").dropDuplicates(["_id"])
     texts = stage(texts, "texts")
 
-    labels, _ = link_buckets(buckets, marks, _alike(), lambda pairs: _confirmed(pairs, texts, similarity))
+    sketches = stage(heads.join(wanted, "_id").select(F.col("_id").alias("node"), "n_shingles", *_SKETCH), "sketches")
+    labels, _ = link_buckets(buckets, sketches, _alike(similarity), lambda pairs: _confirmed(pairs, texts, similarity))
     roots = labels.select(F.col("node").alias("rep"), "root")
     component = members.join(roots, "rep", "left").select("_id", F.coalesce("root", "rep").alias("root"))
     found = signed_docs.select("_id", "n_shingles").join(component.distinct(), "_id", "left")

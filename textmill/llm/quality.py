@@ -185,8 +185,8 @@ def classify(
     if share < 1:
         labelled = labelled.filter(F.pmod(F.xxhash64("_id"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30))))
     sample = labelled.orderBy(F.xxhash64("_id"), "_id").limit(rows).toArrow()
-    values = np.array(sample.column("features").to_pylist(), float).reshape(sample.num_rows, -1)
-    weights = fit(values, sample.column("_y").to_numpy())
+    values = np.array(sample.column("features").to_pylist(), float)
+    weights = fit(values, sample.column("_y").to_numpy()) if len(values) else None
     if weights is None:
         none = F.lit(1.0)
         rates = [none.alias(f"rate{i + 1}") for i in range(len(levels))]
