@@ -15,7 +15,7 @@ from textmill.operators.health import health, list_tables, location, previews, s
 from textmill.operators.retention import expiry, retain
 from textmill.session import (
     cached,
-    input_bytes,
+    file_bytes,
     shared_root,
     sized_shuffles,
     stage,
@@ -26,16 +26,15 @@ from textmill.sinks.files import (
     append_training_csv,
     balanced,
     discard,
-    spread,
     write_day_buckets,
     write_json_batches,
 )
 from textmill.sinks.publish import point_table, publish
-from textmill.sources.json_files import read_json_arrays, read_json_lines
+from textmill.sources.json_files import broken_files, read_json_arrays, read_json_lines
 from textmill.sources.label_lines import read_label_lines
 from textmill.sources.raw_files import modified_after, raw_file_ages
 from textmill.sources.tables import MissingTable, local_rows, read_parquet, require_table
-from textmill.sources.training_csv import read_training_csv
+from textmill.sources.training_csv import malformed_records, read_training_csv
 
 CSV = """is_destructive,text
 0,"say ""hi"", ok"
@@ -82,22 +81,41 @@ def test_csv_quotes_and_malformed_lines(spark, tmp_path):
     ]
 
 
-def test_csv_with_swapped_columns(spark, tmp_path):
-    (tmp_path / "a.csv").write_text("is_destructive,text\n0,calm\n")
-    (tmp_path / "run").mkdir()
-    (tmp_path / "run" / "b.csv").write_text("text,is_destructive\nrude,1\n")
-    with pytest.raises(Exception, match="CSV header does not conform"):
+def test_csv_headers(spark, tmp_path):
+    """Each file by its own header: either order, quoted, padded, `label`; without one it is an error."""
+    for name, content in {
+        "a": "is_destructive,text\n0,calm\n", "b": "text,is_destructive\nrude,1\n",
+        "c": '"is_destructive","text"\n1,quoted\n', "d": "label,text\n0,other\n", "e": ' Text , "label"\nlast,1\n',
+    }.items():
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "x.csv").write_text(content)
+    read = training_rows(read_training_csv(spark, str(tmp_path)))
+    assert sorted(tuple(r) for r in read.collect()) == [
+        ("calm", 0.0), ("last", 1.0), ("other", 0.0), ("quoted", 1.0), ("rude", 1.0),
+    ]
+    (tmp_path / "f.csv").write_text("class,text\n0,calm\n")
+    with pytest.raises(Exception, match="no header of a text and a label"):
         read_training_csv(spark, str(tmp_path)).collect()
-    both = read_training_csv(spark, str(tmp_path), mixed_headers=True)
-    assert sorted(tuple(r) for r in training_rows(both).collect()) == [
-        ("calm", 0.0),
-        ("rude", 1.0),
-    ]
+
+
+def test_csv_malformed_records_are_told(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(CSV)
+    assert malformed_records(spark, str(tmp_path)).count() == 2
+
+
+def test_cut_off_json_files_are_told(spark, tmp_path):
+    schema = "id bigint, text string"
+    (tmp_path / "a.json").write_text('[{"id": 1, "text": "a"}]')
+    (tmp_path / "b.json").write_text('[{"id": 2, "text": "b"}, {"id": 3, "te')
+    from pyspark.sql.types import StructType
+
+    broken = broken_files(spark, str(tmp_path), StructType.fromDDL(schema)).collect()
+    assert [r.file.rsplit("/", 1)[1] for r in broken] == ["b.json"]
 
 
 def test_csv_append_round_trip(spark, rows, tmp_path):
     path = str(tmp_path / "csv")
-    texts = ['a "quoted", word', "back\\slash", " padded ", "comma, only", '"']
+    texts = ['a "quoted", word', "back\\slash", " padded ", "comma, only", '"', "one\ntwo", "", "\\", "a\r\n", "\n"]
     for part in (texts[:3], texts[3:]):
         append_training_csv(rows([(t, 1) for t in part], "text string, is_destructive int"), path)
     assert sorted(r.text for r in read_training_csv(spark, path).collect()) == sorted(texts)
@@ -293,11 +311,11 @@ def test_staging_uses_the_shared_folder(spark, rows):
     assert [tuple(r) for r in staged.collect()] == [(1, None)]
 
 
-def test_shuffles_are_sized_by_the_input(spark):
+def test_shuffles_are_sized_by_the_input(spark, tmp_path):
     setting = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
     before = spark.conf.get(setting, None)
-    for size, parts in ((0, usual), (10 * 2**40, 20_000), (2**39, 12_288), (2**60, usual)):
+    for size, parts in ((0, usual), (2**39, 12_288), (100 * 2**40, 2_457_600)):
         with sized_shuffles(spark, size) as n:
             assert n == parts and spark.conf.get(setting) == str(parts)
         assert spark.conf.get(setting, None) == before
@@ -306,16 +324,10 @@ def test_shuffles_are_sized_by_the_input(spark):
         grouped = spark.range(1000).groupBy(F.col("id") % 7).count()
         assert "hashpartitioning" in plan(grouped) and ", 96)" in plan(grouped)
         assert len(grouped.collect()) == 7
-
-
-def test_only_small_inputs_are_spread(spark, rows, tmp_path):
-    rows([(1,)], "id int").write.parquet(str(tmp_path / "p"))
-    small = spark.read.parquet(str(tmp_path / "p"))
-    assert input_bytes(small) < 10_000
-    assert "REBALANCE" in plan(spread(small))
-    assert input_bytes(rows([(1,)], "id int")) > 2**55
-    large = spark.range(2**40)
-    assert "REBALANCE" not in plan(spread(large))
+    (tmp_path / "a" / "b").mkdir(parents=True)
+    (tmp_path / "a" / "x").write_bytes(b"x" * 10)
+    (tmp_path / "a" / "b" / "y").write_bytes(b"y" * 7)
+    assert file_bytes(spark, str(tmp_path / "a")) == 17
 
 
 def test_discard(spark):

@@ -13,6 +13,7 @@ from textmill.plans.cycle import (
     clean_new_posts,
     current_comments,
     current_posts,
+    current_scores,
 )
 from textmill.schemas import RAW_COMMENTS, RAW_POSTS
 from textmill.sources.json_files import read_json_arrays
@@ -101,9 +102,14 @@ def test_commands(spark, raw, tmp_path):
     model = f"{root}/models/logistic"
     scored = main(["cycle", *paths, "--model", model])
     assert sum(r["count"] for r in scored.collect()) == 3
-    assert rows(spark.read.parquet(f"{root}/comment_scores")) == rows(
-        predict_class(load(model), current_comments(spark, root))
-    )
+    # An edit and the same id in another chat: one score for each current comment.
+    raw("comments", "b.json", comment(1, "a lovely day", ts=1800000000), {**comment(1, "you trash trash"), "channel_id": -9})
+    main(["cycle", *paths, "--model", model])
+    scores = current_scores(spark, root)
+    current = current_comments(spark, root)
+    assert scores.count() == current.count() == 4
+    assert rows(scores.select("id", "text", "is_toxic_pred")) == rows(predict_class(load(model), current))
+    assert spark.read.parquet(f"{root}/comment_scores").count() == 5
 
     flagged = str(tmp_path / "flagged")
     spark.createDataFrame([("Trash, trash!", 1.0), ("kind", 0.0)],

@@ -1,6 +1,7 @@
 """Features, classifiers, feedback, jobs and streams."""
 
 import json
+import os
 
 import pytest
 from conftest import final_plan, plan
@@ -40,6 +41,7 @@ from textmill.schemas import RAW_COMMENTS, RAW_POSTS
 from textmill.sinks.files import append_training
 from textmill.sources.json_files import read_json_arrays
 from textmill.streaming.incremental import (
+    append_new,
     clean_stream,
     new_files,
     new_json_arrays,
@@ -301,8 +303,8 @@ def test_stream_takes_new_files_only_and_drops_repeats(spark, tmp_path):
 
     def cycle():
         stream = new_json_arrays(spark, str(raw), RAW_POSTS)
-        cleaned = clean_stream(stream, ["channel_id", "post_id"])
-        run_available(cleaned.select("post_id", "text", "date"), out, progress, ["date"])
+        cleaned = clean_stream(stream).select("channel_id", "post_id", "text", "date")
+        append_new(cleaned, out, progress, ["channel_id", "post_id"], "date")
         return sorted((r.post_id, r.text) for r in spark.read.parquet(out).collect())
 
     write_raw(raw / "date=2024-01-01", "a.json", raw_post(1, " a\nb "), raw_post(1, "a\nb"))
@@ -321,8 +323,7 @@ def test_stream_of_versions_equals_the_batch_result(spark, tmp_path):
             *(raw_post(n, f"text {n}", views=10 * i + n) for n in range(i, 6)),
         )
         stream = new_json_arrays(spark, str(raw), RAW_POSTS)
-        cleaned = clean_stream(stream, ["channel_id", "post_id", "ts", "views"])
-        run_available(cleaned, out, progress)
+        append_new(clean_stream(stream), out, progress, ["channel_id", "post_id", "ts", "views"], "date")
     versions = spark.read.schema(RAW_POSTS).parquet(out)
     keys = ("channel_id", "post_id")
     newest = latest_by_key(versions, keys, ("ts", "views")).select("post_id", "text", "views")
@@ -330,16 +331,36 @@ def test_stream_of_versions_equals_the_batch_result(spark, tmp_path):
     assert sorted(map(tuple, newest.collect())) == sorted(map(tuple, batch.collect()))
 
 
-def test_bounded_state_drops_repeats_within_the_delay(spark, tmp_path):
-    raw, out, progress = str(tmp_path / "raw"), str(tmp_path / "out"), str(tmp_path / "progress")
-    df = spark.createDataFrame(
-        [(1, "2024-01-01 00:00:00", "a"), (1, "2024-01-01 01:00:00", "a"), (2, "2024-01-01 02:00:00", "b")],
-        "id int, ts string, text string",
-    ).withColumn("ts", F.col("ts").cast("timestamp"))
-    df.write.parquet(raw)
-    cleaned = clean_stream(new_files(spark, raw, df.schema), ["id"], event_time="ts", delay="1 day")
-    run_available(cleaned, out, progress)
-    assert sorted(r.id for r in spark.read.parquet(out).collect()) == [1, 2]
+@pytest.mark.parametrize("files", ["1", "1000"])
+def test_stream_keeps_old_messages_whatever_the_steps(spark, tmp_path, files):
+    """Newest first, one file a step: nothing counts as late, and repeats go, null days too."""
+    raw, out, progress = tmp_path / "raw", str(tmp_path / "out"), str(tmp_path / "progress")
+    for i in range(4):
+        days = [f"2024-01-{28 - 7 * i - k:02d}" for k in range(7)] + [None]
+        rows = [raw_post(7 * i + k, "x", date=d) for k, d in enumerate(days)]
+        write_raw(raw, f"{i}.json", *rows, *rows[:2])
+        os.utime(raw / f"{i}.json", (1_700_000_000 + i, 1_700_000_000 + i))
+    stream = new_json_arrays(spark, str(raw), RAW_POSTS, maxFilesPerTrigger=files)
+    append_new(clean_stream(stream), out, progress, ["post_id"], "date")
+    stored = spark.read.schema(RAW_POSTS).parquet(out)
+    assert stored.count() == 32 and stored.select("post_id", "date").distinct().count() == 32
+
+
+def test_a_step_that_runs_again_adds_nothing(spark, tmp_path):
+    raw, out = tmp_path / "raw", str(tmp_path / "out")
+    write_raw(raw, "a.json", raw_post(1, "a"), raw_post(2, "b", date=None))
+    for progress in ("p1", "p2"):  # a lost checkpoint takes all files again
+        stream = new_json_arrays(spark, str(raw), RAW_POSTS)
+        append_new(clean_stream(stream), out, str(tmp_path / progress), ["post_id"], "date")
+    assert spark.read.schema(RAW_POSTS).parquet(out).count() == 2
+
+
+def test_a_step_writes_a_file_a_day(spark, tmp_path):
+    raw, out = tmp_path / "raw", tmp_path / "out"
+    rows = [raw_post(i, "x", date=f"2024-01-{i % 30 + 1:02d}") for i in range(600)]
+    write_raw(raw, "a.json", *rows)
+    append_new(clean_stream(new_json_arrays(spark, str(raw), RAW_POSTS)), str(out), str(tmp_path / "p"), ["post_id"], "date")
+    assert len(list(out.rglob("*.parquet"))) == 30
 
 
 def test_stream_scores_equal_batch_scores(spark, model, tmp_path):

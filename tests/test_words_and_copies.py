@@ -23,7 +23,6 @@ from textmill.functions.text import (
 from textmill.operators.replicate import grow_to, replicate, replicate_dates, take_exact
 from textmill.operators.sample import sample_by_key, sample_sizes
 from textmill.operators.words import (
-    INLINE_STOP_WORDS,
     count_words,
     flagged,
     frequent_letter_runs,
@@ -83,12 +82,16 @@ def test_reports(texts):
     assert stripped["слово"] == 2 and stripped["wordword"] == 1
 
 
-def test_long_stop_list_is_joined(texts):
-    many = [f"w{i}" for i in range(INLINE_STOP_WORDS)] + ["слово"]
-    short = count_words(texts, "text", stripped_words, 3, ["слово"])
-    long = count_words(texts, "text", stripped_words, 3, many)
-    assert sorted(map(tuple, short.collect())) == sorted(map(tuple, long.collect()))
-    assert "LeftAnti" in plan(long) and "LeftAnti" not in plan(short)
+@pytest.mark.parametrize("size", [0, 2000])
+def test_stop_lists_filter_and_stop_frames_join(texts, rows, size):
+    """The kind of the argument picks the plan, whatever its length; nulls stand for nothing."""
+    words = [None, "слово", *(f"w{i}" for i in range(size))]
+    listed = count_words(texts, "text", stripped_words, 3, words)
+    joined = count_words(texts, "text", stripped_words, 3, rows([(w,) for w in words], "word string"))
+    found = sorted(map(tuple, listed.collect()))
+    assert found == sorted(map(tuple, joined.collect()))
+    assert found and "слово" not in dict(found)
+    assert "Anti" in plan(joined) and "Anti" not in plan(listed)
 
 
 def test_report_plan_has_one_shuffle_and_no_full_sort(texts):

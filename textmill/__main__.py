@@ -20,14 +20,19 @@ from textmill.operators.classify import load
 from textmill.operators.clean import training_rows
 from textmill.operators.health import health
 from textmill.operators.words import flagged, frequent_stripped
-from textmill.plans.cycle import clean_new_comments, clean_new_posts, score_new_comments
+from textmill.plans.cycle import (
+    clean_new_comments,
+    clean_new_posts,
+    current_scores,
+    score_new_comments,
+)
 from textmill.plans.medallion import TABLES, Medallion
 from textmill.schemas import RAW_COMMENTS, RAW_POSTS
-from textmill.session import input_bytes, session, sized_shuffles
+from textmill.session import file_bytes, session, sized_shuffles
 from textmill.sinks.files import append_training
-from textmill.sources.json_files import read_json_arrays
+from textmill.sources.json_files import broken_files, read_json_arrays
 from textmill.sources.label_lines import read_label_lines
-from textmill.sources.training_csv import read_training_csv
+from textmill.sources.training_csv import malformed_records, read_training_csv
 
 
 def _run(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
@@ -35,7 +40,17 @@ def _run(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     report = job.run(
         read_json_arrays(spark, args.posts, RAW_POSTS),
         read_json_arrays(spark, args.comments, RAW_COMMENTS),
+        file_bytes(spark, args.posts, args.comments),
     )
+    broken = [
+        (name, "BROKEN FILES", n)
+        for name, path, schema in (
+            ("raw posts", args.posts, RAW_POSTS),
+            ("raw comments", args.comments, RAW_COMMENTS),
+        )
+        if (n := broken_files(spark, path, schema).count())
+    ]
+    report = report.union(spark.createDataFrame(broken, report.schema))
     tables = health(spark, TABLES).select(
         F.col("table").alias("stage"), "status", F.col("rows").alias("rows")
     )
@@ -43,17 +58,19 @@ def _run(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
 
 
 def _cycle(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
-    clean_new_posts(spark, args.posts, args.root)
-    clean_new_comments(spark, args.comments, args.root)
-    score_new_comments(spark, load(args.model), args.root)
-    scores = spark.read.parquet(f"{args.root}/comment_scores")
-    return scores.groupBy("is_toxic_pred").count()
+    with sized_shuffles(spark, file_bytes(spark, args.posts, args.comments)):
+        clean_new_posts(spark, args.posts, args.root)
+        clean_new_comments(spark, args.comments, args.root)
+        score_new_comments(spark, load(args.model), args.root)
+    return current_scores(spark, args.root).groupBy("is_toxic_pred").count()
 
 
 def _training(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     if args.csv:
-        rows = training_rows(read_training_csv(spark, args.csv, mixed_headers=True))
+        rows = training_rows(read_training_csv(spark, args.csv))
         rows = rows.select("text", F.col("label").cast("int").alias("is_destructive"))
+        if malformed := malformed_records(spark, args.csv).count():
+            print(f"{malformed} malformed records left out")
     else:
         rows = read_label_lines(spark, args.label_lines)
     append_training(rows, args.training, "base")
@@ -97,9 +114,13 @@ def parser() -> argparse.ArgumentParser:
 
 def main(arguments: list[str] | None = None) -> DataFrame:
     args = parser().parse_args(arguments)
-    report = args.work(session("textmill"), args)
-    with sized_shuffles(report.sparkSession, input_bytes(report)):
-        report.show(1000, truncate=False)
+    spark = session("textmill")
+    report = args.work(spark, args)
+    inputs = [getattr(args, name) for name in ("predictions", "root") if getattr(args, name, None)]
+    with sized_shuffles(spark, file_bytes(spark, *inputs) if inputs else 0):
+        print(*report.columns, sep="\t")
+        for row in report.toLocalIterator():
+            print(*row, sep="\t")
     return report
 
 

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_STEPS = 16**6
+_STEPS = 16**32
 
 
 def sample_bound(fraction: float) -> str:
-    """The six hex digits below which a key's digest falls with the given probability."""
+    """The 32 hex digits below which a key's digest falls with the given probability."""
     if not 0.0 <= fraction < 1.0:
         raise ValueError("fraction must lie in [0, 1)")
-    return format(int(fraction * _STEPS), "06x")
+    return format(int(Fraction(fraction) * _STEPS), "032x")
 
 
 def in_sample(key: Column, fraction: float, seed: int = 42) -> Column:
@@ -24,4 +26,4 @@ def in_sample(key: Column, fraction: float, seed: int = 42) -> Column:
     if fraction >= 1.0:
         return F.lit(True)
     digest = F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")).cast("binary"))
-    return F.substring(digest, 1, 6) < sample_bound(fraction)
+    return digest < sample_bound(fraction)

@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from textmill.functions.text import lower_space_words, letter_words, space_words, stripped_words
 
-# Beyond this many words a list is joined, not written into the plan.
-INLINE_STOP_WORDS = 1000
-
 
 def count_words(
     df: DataFrame,
@@ -22,21 +19,20 @@ def count_words(
 ) -> DataFrame:
     """`word, count` over the given texts.
 
-    Words are counted in each task before the one shuffle on the word. A short
-    stop list filters before counting; a long one, or a frame with a column
-    `word`, is anti-joined to the counts, which are far fewer than the words.
+    Words are counted in each task before the one shuffle on the word. A list of
+    stop words filters before counting; a frame with a column `word` is
+    anti-joined to the counts, which are far fewer than the words. Nulls among
+    the stop words stand for nothing.
     """
     words = df.select(F.explode(split(F.col(text))).alias("word"))
     if longer_than:
         words = words.filter(F.length("word") > longer_than)
-    inline = not isinstance(stop_words, DataFrame) and len(stop_words) <= INLINE_STOP_WORDS
-    if inline and stop_words:
-        words = words.filter(~F.col("word").isin(list(stop_words)))
+    joined = isinstance(stop_words, DataFrame)
+    listed = [] if joined else [w for w in stop_words if w is not None]
+    if listed:
+        words = words.filter(~F.col("word").isin(listed))
     counts = words.groupBy("word").agg(F.count("*").alias("count"))
-    if not inline:
-        if not isinstance(stop_words, DataFrame):
-            rows = [(w,) for w in stop_words]
-            stop_words = df.sparkSession.createDataFrame(rows, "word string")
+    if joined:
         counts = counts.join(stop_words.select("word").distinct(), "word", "left_anti")
     return counts
 

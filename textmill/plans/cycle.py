@@ -29,10 +29,10 @@ from textmill.schemas import (
     RAW_POSTS,
 )
 from textmill.streaming.incremental import (
+    append_new,
     clean_stream,
     new_files,
     new_json_arrays,
-    run_available,
     score_stream,
 )
 
@@ -45,7 +45,7 @@ def _append_versions(
     typed = versions(raw)
     digest = F.md5(F.to_json(F.struct(*typed.columns)).cast("binary"))
     marked = typed.withColumn("version", digest).withColumn("day", day_key(text=F.col("date")))
-    run_available(clean_stream(marked, [*KEYS, "version"]), path, checkpoint, ["day"])
+    append_new(clean_stream(marked), path, checkpoint, [*KEYS, "version"])
 
 
 def clean_new_posts(spark: SparkSession, raw: str, root: str) -> None:
@@ -79,8 +79,19 @@ def current_comments(spark: SparkSession, root: str) -> DataFrame:
     return _current(spark, f"{root}/comment_versions", COMMENT_VERSIONS, COMMENT_RECENCY)
 
 
+SCORES = "chat_id bigint, id bigint, version string, day string, text string, is_toxic_pred int"
+
+
 def score_new_comments(spark: SparkSession, model: PipelineModel, root: str) -> None:
-    """Append `id, text, is_toxic_pred` of the comment versions not scored yet."""
+    """Append the class of the comment versions not scored yet, with chat, id and version."""
     stream = new_files(spark, f"{root}/comment_versions", COMMENT_VERSIONS)
-    scores = score_stream(model, stream)
-    run_available(scores, f"{root}/comment_scores", f"{root}/progress/scores")
+    scores = score_stream(model, stream, [*KEYS, "version", "day"])
+    append_new(scores, f"{root}/comment_scores", f"{root}/progress/scores", [*KEYS, "version"])
+
+
+def current_scores(spark: SparkSession, root: str) -> DataFrame:
+    """`chat_id, id, text, is_toxic_pred` of each comment's current version."""
+    versions = spark.read.schema(COMMENT_VERSIONS).parquet(f"{root}/comment_versions")
+    newest = latest_by_key(versions, KEYS, COMMENT_RECENCY).select(*KEYS, "version")
+    scores = spark.read.schema(SCORES).parquet(f"{root}/comment_scores").drop("day")
+    return newest.join(scores, [*KEYS, "version"]).drop("version")

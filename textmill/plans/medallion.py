@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -23,11 +24,13 @@ from textmill.operators.feedback import confident_feedback, sampled_positives
 from textmill.operators.replicate import replicate
 from textmill.operators.retention import RETENTION_DAYS, retain
 from textmill.schemas import TRAINING
-from textmill.session import input_bytes, sized_shuffles
+from textmill.session import sized_shuffles
 from textmill.sinks.files import append_training
 from textmill.sinks.publish import publish
 from textmill.sources.tables import require_table
 
+_LOG = logging.getLogger(__name__)
+
 # Copies of each cleaned table.
 COMMENT_COPIES = 5
 POST_COPIES = 3
@@ -130,13 +133,14 @@ class Medallion:
             self.report.append((name, "OK", work()))
             return True
         except Exception as error:  # a stage's failure decides what follows, and is reported
-            self.report.append((name, f"FAILED: {type(error).__name__}", None))
+            _LOG.exception("stage %s failed", name)
+            self.report.append((name, f"FAILED: {type(error).__name__}: {error}", None))
             return False
 
-    def run(self, raw_posts: DataFrame, raw_comments: DataFrame) -> DataFrame:
+    def run(self, raw_posts: DataFrame, raw_comments: DataFrame, size: int = 0) -> DataFrame:
         """`stage, status, rows`. Nothing runs on uncleaned tables; retention
-        runs even if scoring fails."""
-        with sized_shuffles(self.spark, input_bytes(raw_posts) + input_bytes(raw_comments)):
+        runs even if scoring fails. `size`: bytes of the raw files, for the shuffles."""
+        with sized_shuffles(self.spark, size):
             cleaned = self._stage("clean", lambda: self.clean(raw_posts, raw_comments))
             copied = self._stage("replicate", self.replicate, cleaned)
             self._stage("class_model", self.class_model, copied)

@@ -5,7 +5,6 @@ from datetime import UTC, datetime
 from pyspark.sql import functions as F
 
 from textmill.functions.dates import day_key
-from textmill.functions.text import one_line
 from textmill.operators.clean import training_rows
 from textmill.operators.health import health, previews, row_counts, sample_rows
 from textmill.operators.retention import retain
@@ -38,7 +37,7 @@ from textmill.sources.label_lines import read_label_lines
 from textmill.sources.raw_files import modified_after, raw_file_ages
 from textmill.sources.tables import read_parquet, require_table
 from textmill.sources.training_csv import read_training_csv
-from textmill.streaming.incremental import clean_stream, new_files, run_available
+from textmill.streaming.incremental import append_new, clean_stream, new_files
 
 HEALTH_TABLES = ("documents", "labels", "conversations", "events", "benchmark")
 
@@ -104,11 +103,22 @@ def json_line_files(spark, folder):
 )
 def training_csv_files(spark, folder):
     path = staging_path(spark, "csv")
-    rows = labelled(spark, folder).select("is_destructive", one_line(F.col("text")).alias("text"))
-    append_training_csv(rows, path)
+    append_training_csv(labelled(spark, folder).select("is_destructive", "text"), path)
     return training_rows(read_training_csv(spark, path))
 
 
+@query(
+    "raw_training_csv_files",
+    """select d.text, cast(l.toxic as varchar) as is_destructive
+       from documents d join labels l using (doc_id)""",
+)
+def raw_training_csv_files(spark, folder):
+    """The texts as they are: line breaks, blanks at the ends and empty texts come back."""
+    path = staging_path(spark, "csv")
+    append_training_csv(labelled(spark, folder).select("is_destructive", "text"), path)
+    return read_training_csv(spark, path)
+
+
 @query(
     "label_line_files",
     r"""select l.toxic as is_destructive,
@@ -239,20 +249,23 @@ def text_previews(spark, folder):
 def streamed_clean(spark, folder):
     schema = table(spark, folder, "documents").schema
     stream = new_files(spark, folder, schema, pathGlobFilter="documents.parquet")
-    cleaned = clean_stream(stream, ["doc_id"]).select("doc_id", "text", "lang")
+    cleaned = clean_stream(stream).select("doc_id", "text", "lang")
     path = staging_path(spark, "stream")
-    run_available(cleaned, f"{path}/rows", f"{path}/progress", ["lang"])
+    append_new(cleaned, f"{path}/rows", f"{path}/progress", ["doc_id"], "lang")
     return spark.read.schema(cleaned.schema).parquet(f"{path}/rows")
 
 
 @query("streamed_clean_recent", "select event_id, trim(props) as props from events")
 def streamed_clean_recent(spark, folder):
-    schema = table(spark, folder, "events").schema
-    stream = new_files(spark, folder, schema, pathGlobFilter="events.parquet")
-    timed = stream.withColumn("ts", F.col("ts").cast("timestamp"))
-    cleaned = clean_stream(timed, ["event_id"], "props", "ts", "7 days")
+    """All events, from files in no order of time, taken a few at a time and every event twice."""
     path = staging_path(spark, "stream")
-    run_available(cleaned.select("event_id", "props"), f"{path}/rows", f"{path}/progress")
+    events = table(spark, folder, "events")
+    twice = events.union(events).repartition(8, F.xxhash64("event_id") % 5)
+    twice.write.parquet(f"{path}/raw")
+    stream = new_files(spark, f"{path}/raw", events.schema, maxFilesPerTrigger="2")
+    timed = stream.withColumn("day", F.to_date("ts").cast("string"))
+    cleaned = clean_stream(timed, "props").select("event_id", "props", "day")
+    append_new(cleaned, f"{path}/rows", f"{path}/progress", ["event_id"])
     return spark.read.schema("event_id bigint, props string").parquet(f"{path}/rows")
 
 

@@ -68,7 +68,7 @@ def digest_in_sample_sql(key: str, fraction: float) -> str:
     """The sampling rule in SQL."""
     if fraction >= 1.0:
         return "true"
-    digest = f"substr(md5('42:' || cast({key} as varchar)), 1, 6)"
+    digest = f"md5('42:' || cast({key} as varchar))"
     return f"{digest} < '{sample_bound(fraction)}'"
 
 

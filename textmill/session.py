@@ -9,6 +9,7 @@ from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Settings the operators are tuned for. None of them changes a result.
 SETTINGS = {
@@ -28,11 +29,6 @@ INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 SHUFFLE_PART_BYTES = 128 * 1024 * 1024
 # Shuffled rows against compressed files, as a rule of thumb.
 ROWS_PER_FILE_BYTE = 3
-# Beyond this the bookkeeping of map outputs costs more than larger, spilling parts do.
-MOST_SHUFFLE_PARTS = 20_000
-# Spark gives frames of unknown size, such as local rows, an estimate beyond any table.
-UNKNOWN_BYTES = 2**55
-
 
 def session(app: str = "textmill", master: str | None = None, **extra: str) -> SparkSession:
     """A session with the settings above; the master comes from spark-submit if not given."""
@@ -71,22 +67,21 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def input_bytes(df: DataFrame) -> int:
-    """The optimizer's estimate of a frame's size; for scans, the size of the files."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def file_bytes(spark: SparkSession, *paths: str) -> int:
+    """The size of all files below the paths, from their listing alone."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(paths))
+    return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
 
 
 @contextmanager
 def sized_shuffles(spark: SparkSession, size: int) -> Iterator[int]:
-    """Start shuffles with enough partitions for an input of the given bytes.
+    """Start shuffles with parts of an even size for an input of the given bytes.
 
     The default of 200 would make parts of hundreds of gigabytes at 100 TB.
     Starting high is safe: AQE joins partitions that turn out small.
     """
     usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    known = size if size < UNKNOWN_BYTES else 0
-    wanted = -(-known * ROWS_PER_FILE_BYTE // SHUFFLE_PART_BYTES)
-    partitions = min(max(usual, wanted), MOST_SHUFFLE_PARTS)
+    partitions = max(usual, -(-size * ROWS_PER_FILE_BYTE // SHUFFLE_PART_BYTES))
     before = spark.conf.get(INITIAL_PARTITIONS, None)
     spark.conf.set(INITIAL_PARTITIONS, str(partitions))
     try:

@@ -9,10 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textmill.session import input_bytes
-
-# Spark's default size of a scan split.
-SPLIT_BYTES = 128 * 1024 * 1024
+from textmill.sources.training_csv import NULL
 
 _JSON_ARRAY = pa.schema([(name, pa.string()) for name in ("date", "batch", "value")])
 
@@ -23,16 +20,6 @@ def balanced(df: DataFrame, *columns: str) -> DataFrame:
     return df.hint("rebalance", *columns)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Even parts for work that is heavy per row, if the input is small.
-
-    A table of fewer scan splits than cores leaves cores idle. Larger tables
-    are left as they are: their splits keep all cores busy without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return balanced(df) if input_bytes(df) < cores * SPLIT_BYTES else df
-
-
 def write_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
     """Replace the files at a path."""
     writer = df.write.mode("overwrite")
@@ -46,12 +33,18 @@ def append_training(df: DataFrame, path: str, origin: str) -> None:
 
 
 def append_training_csv(df: DataFrame, path: str) -> None:
-    """Add rows to a CSV training folder, in the column order of its base file."""
+    """Add rows to a CSV training folder, in the column order of its base file.
+
+    Fields are quoted, so line breaks and empty texts come back as they are.
+    """
     (
-        df.select("is_destructive", "text")
+        balanced(df.select("is_destructive", "text"))
         .write.mode("append")
         .option("header", True)
+        .option("quoteAll", True)
         .option("escape", '"')
+        .option("nullValue", NULL)
+        .option("emptyValue", "")
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -23,6 +24,17 @@ def read_json_arrays(
     )
 
 
+def broken_files(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """`file, content` of the raw files that hold no whole JSON array, such as cut-off ones."""
+    marked = T.StructType([*schema.fields, T.StructField("_broken", T.StringType())])
+    rows = read_json_arrays(spark, path, marked, columnNameOfCorruptRecord="_broken")
+    # Spark answers no query on the mark alone, so the filter names the other columns too.
+    whole = F.length(F.to_json(F.struct(*schema.names))) >= 0
+    return rows.filter(F.col("_broken").isNotNull() & whole).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_broken").alias("content")
+    )
+
+
 def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Files with one JSON object per line; large files are split."""
     return spark.read.schema(schema).option("recursiveFileLookup", True).json(path)

@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textmill.functions.text import one_line
-
-# Raw files hold one collector batch each, so a step stays small.
-FILES_PER_STEP = 100_000
+from textmill.sinks.files import balanced
 
 
 def new_files(
@@ -22,43 +22,67 @@ def new_files(
     return spark.readStream.schema(schema).format(form).options(**options).load(path)
 
 
-def new_json_arrays(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def new_json_arrays(
+    spark: SparkSession, path: str, schema: T.StructType, **options: str
+) -> DataFrame:
     """A stream over raw files of one JSON array each, at any depth.
 
-    A backlog is taken in steps of a bounded number of files.
+    How many files a step takes (`maxFilesPerTrigger`) changes no result.
     """
-    options = {
-        "multiLine": "true",
-        "recursiveFileLookup": "true",
-        "maxFilesPerTrigger": str(FILES_PER_STEP),
-    }
-    return new_files(spark, path, schema, "json", **options)
-
-
-def clean_stream(
-    stream: DataFrame,
-    keys: Sequence[str],
-    text: str = "text",
-    event_time: str | None = None,
-    delay: str = "7 days",
+    own = {"multiLine": "true", "recursiveFileLookup": "true"}
+    return new_files(spark, path, schema, "json", **own, **options)
+
+
+def clean_stream(stream: DataFrame, text: str = "text") -> DataFrame:
+    """Messages with normalised texts."""
+    return stream.withColumn(text, one_line(F.col(text)))
+
+
+def score_stream(
+    model: PipelineModel, stream: DataFrame, keys: Sequence[str] = ("id",)
 ) -> DataFrame:
-    """Normalised messages, each key once.
+    """The keys, `text` and `is_toxic_pred` of new messages."""
+    scored = model.transform(stream.filter(F.col("text").isNotNull()))
+    return scored.select(*keys, "text", F.col("prediction").cast("int").alias("is_toxic_pred"))
+
 
-    Without an event time all keys seen are kept as state, which is exact for
-    files of any age. With one, keys are forgotten after the delay, and
-    messages older than that are late; use it where the collector only brings
-    recent messages.
+def _same(one: DataFrame, other: DataFrame, columns: Sequence[str]) -> Column:
+    return reduce(Column.__and__, (one[c].eqNullSafe(other[c]) for c in columns))
+
+
+def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def append_new(
+    stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], day: str = "day"
+) -> None:
+    """Append the rows whose (day, keys) are not stored yet, once each, then stop.
+
+    A step drops its own repeats and those stored for the days it touches; of
+    the other days no file is opened. Nothing is late and nothing is kept as
+    state, so the result depends neither on the order of files nor on how they
+    fall into steps, and a step that runs again after a failure adds nothing
+    twice. A step writes as many files as its days and their size ask for.
     """
-    cleaned = stream.withColumn(text, one_line(F.col(text)))
-    if event_time is None:
-        return cleaned.dropDuplicates(list(keys))
-    return cleaned.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
+    identity = [day, *keys]
 
+    def add(batch: DataFrame, _: int) -> None:
+        fresh = batch.dropDuplicates(identity)
+        stored = _stored(batch.sparkSession, path, batch.schema)
+        if stored is not None:
+            days = batch.select(day).distinct()
+            touched = stored.join(days, _same(stored, days, [day]), "left_semi").select(*identity)
+            fresh = fresh.join(touched, _same(fresh, touched, identity), "left_anti")
+        balanced(fresh, day).write.mode("append").partitionBy(day).parquet(path)
 
-def score_stream(model: PipelineModel, stream: DataFrame, id_col: str = "id") -> DataFrame:
-    """`id, text, is_toxic_pred` of new messages."""
-    scored = model.transform(stream.filter(F.col("text").isNotNull()))
-    return scored.select(id_col, "text", F.col("prediction").cast("int").alias("is_toxic_pred"))
+    writer = stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
+    writer.trigger(availableNow=True).start().awaitTermination()
 
 
 def run_available(
@@ -66,8 +90,8 @@ def run_available(
 ) -> None:
     """Append what is available now to Parquet files, then stop.
 
-    Progress and state live at the checkpoint, so the next run goes on from
-    there and every file is written once.
+    Progress lives at the checkpoint, so the next run goes on from there and
+    every file is written once.
     """
     writer = (
         stream.writeStream.format("parquet")
