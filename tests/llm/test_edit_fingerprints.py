@@ -84,3 +84,18 @@ def test_likeness_falls_with_edits():
     ]
     assert means[0] > means[1] > means[2]
     assert means[0] > 0.8 and means[2] < 0.3
+
+
+def test_bands_and_verification_find_like_texts(rows):
+    pick = random.Random(5)
+    word = lambda: "".join(pick.choice("abcdefghijkl") for _ in range(6))
+    base = [" ".join(word() for _ in range(pick.randrange(150, 500))) for _ in range(12)]
+    data = []
+    for k, text in enumerate(base):
+        copies = [text, text, text[:-4] + "zzzz", text + " tail", text[:-9]]
+        data += [(10 * k + i, t) for i, t in enumerate(copies)]
+    data += [(200, ""), (201, None), (202, "ab")]
+    prints = ef.fingerprint_edits(rows(data, "doc_id bigint, text string"))
+    got = {r.doc_id: r.group_id for r in ef.like_groups(prints).collect()}
+    assert all(got[10 * k + i] == 10 * k for k in range(12) for i in range(5))
+    assert got[201] == 200 and got[202] == 202

@@ -29,9 +29,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textmill.llm.buffers import bounded_slices, code_points, mix
+from textmill.llm.links import link_buckets
+from textmill.session import stage
 
 # A text keeps between SAMPLES and twice as many steps of its walk.
 SAMPLES = 128
+# Samples of a band.
+BAND = 16
 # Rounds in which all texts of a slice step together end when so few are left;
 # the rest walk on one by one.
 FEW = 64
@@ -284,3 +288,49 @@ def fingerprint_edits(df: DataFrame, id_col: str = "doc_id", text: str = "text")
         f"_id {kind}, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "
         "near_edited double, near_next double",
     ).withColumnRenamed("_id", id_col)
+
+
+def _band_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Keys of runs of sampled characters, at a text's own level and at the next coarser one."""
+    for batch in batches:
+        nodes, keys = [], []
+        for node, fingerprint in zip(batch.column("node").to_pylist(), batch.column("fingerprint").to_pylist()):
+            level, digits = fingerprint.split(":")
+            samples = np.frombuffer(digits.encode(), np.uint8)
+            for at in (int(level), int(level) + 1):
+                own = (samples[_coarser(int(level), at, len(samples))] if at > int(level) else samples).tobytes()
+                for band in range(max(len(own) // BAND, 1)):
+                    part = f"{at}:{band}:".encode() + own[band * BAND : (band + 1) * BAND]
+                    nodes.append(node)
+                    keys.append(int.from_bytes(hashlib.blake2b(part, digest_size=8).digest(), "little", signed=True))
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(nodes, pa.int64())], ["bucket", "node"])
+
+
+def like_groups(prints: DataFrame, id_col: str = "doc_id", least: float = 0.8) -> DataFrame:
+    """The id with group_id, the smallest id connected by fingerprints of a likeness of `least` or more.
+
+    Equal fingerprints are one class. Bands of BAND samples propose pairs of
+    classes, and all common samples verify them. Two texts whose samples agree
+    with probability p meet in one of n bands with probability 1 - (1 - p^BAND)^n.
+    """
+    rows = prints.select(F.col(id_col).cast("bigint").alias("_id"), "fingerprint")
+    classes = stage(
+        rows.filter("_id is not null").groupBy("fingerprint").agg(F.min("_id").alias("node")), "fingerprint-classes"
+    )
+    bands = stage(classes.mapInArrow(_band_keys, "bucket bigint, node bigint"), "fingerprint-bands")
+    shared = bands.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+    buckets = stage(bands.join(shared, "bucket").select("bucket", "node"), "fingerprint-buckets")
+
+    @F.pandas_udf("double")
+    def like(one: pd.Series, other: pd.Series) -> pd.Series:
+        return pd.Series([likeness(a, b) for a, b in zip(one, other)], dtype=float)
+
+    def confirm(pairs: DataFrame) -> DataFrame:
+        for side in "ab":
+            pairs = pairs.join(classes.select(F.col("node").alias(side), F.col("fingerprint").alias(f"print_{side}")), side)
+        return pairs.filter(like("print_a", "print_b") >= least).select("a", "b")
+
+    labels, _ = link_buckets(buckets, classes.select("node"), F.lit(True), confirm)
+    member = classes.join(labels, "node", "left").select("fingerprint", F.coalesce("root", "node").alias("group_id"))
+    found = rows.join(member, "fingerprint", "left")
+    return found.select(F.col("_id").alias(id_col), F.when(F.col("_id").isNotNull(), F.col("group_id")).alias("group_id"))
