@@ -31,7 +31,6 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
             .agg(F.min("root_b").alias("lower"))
         )
         hung = labels.join(crossing, "root", "left").select("node", F.coalesce("lower", "root").alias("root"))
-        hung = stage(hung, "labels")
         parents = hung.select(F.col("node").alias("root"), F.col("root").alias("upper"))
         labels_next = stage(
             hung.join(parents, "root", "left").select("node", F.coalesce("upper", "root").alias("root")), "labels"
@@ -86,6 +85,8 @@ def link_buckets(
             pairs = pairs.filter("node_a < node_b")
         pairs = pairs.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
         found = stage(confirm(pairs), "found")
+        if labels is not None and found.isEmpty():
+            continue
         links = found if links is None else links.union(found)
         labels = components(links)
     return labels, links
