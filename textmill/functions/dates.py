@@ -18,11 +18,13 @@ def day_key(
     moment: Column | None = None,
     as_of: str | None = None,
 ) -> Column:
-    """`yyyy-MM-dd` from the first 10 characters of a string date, else from
-    epoch seconds, else from a timestamp, else the given day."""
+    """`yyyy-MM-dd` from a string that starts with a date or holds epoch seconds,
+    else from epoch seconds, else from a timestamp, else the given day."""
     choices = []
     if text is not None:
-        choices.append(F.substring(text, 1, 10))
+        choices.append(F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}"), F.substring(text, 1, 10)))
+        number = F.when(text.rlike(r"^\d{9,11}(\.\d*)?$"), text.try_cast("double"))
+        choices.append(epoch_day(number).cast("string"))
     if seconds is not None:
         choices.append(epoch_day(seconds).cast("string"))
     if moment is not None:

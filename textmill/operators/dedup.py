@@ -15,6 +15,18 @@ def _first_by(df: DataFrame, keys: Sequence[str], order: list) -> DataFrame:
     return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")
 
 
+def first_per_text(df: DataFrame, text: str, order: Sequence[str]) -> DataFrame:
+    """The row with the smallest order columns of each text.
+
+    Texts are told apart by 128 bits of digest, so none is compared or sorted.
+    """
+    digests = {"_digest1": F.xxhash64(text), "_digest2": F.xxhash64(F.lit(1), text)}
+    firsts = _first_by(
+        df.withColumns(digests), list(digests), [F.col(c).asc_nulls_last() for c in order]
+    )
+    return firsts.drop(*digests)
+
+
 def latest_by_key(df: DataFrame, keys: Sequence[str], recency: Sequence[str]) -> DataFrame:
     """The row with the greatest recency columns of each key."""
     return _first_by(df, keys, [F.col(c).desc_nulls_last() for c in recency])

@@ -37,10 +37,13 @@ def bucket_total(vector: str) -> F.Column:
 def term_counts(df: DataFrame, id_col: str, words: str = "words") -> DataFrame:
     """`id, term, tf` with the exact terms.
 
-    A row's terms are counted in its own task first; only those counts move.
+    Rows move once, by id, with their terms still in a list; as every group of
+    (id, term) is then in one task, the counts move no more.
     """
     return (
-        df.select(id_col, F.explode(words).alias("term"))
+        df.select(id_col, words)
+        .repartition(id_col)
+        .select(id_col, F.explode(words).alias("term"))
         .groupBy(id_col, "term")
         .agg(F.count("*").alias("tf"))
     )

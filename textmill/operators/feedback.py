@@ -39,7 +39,12 @@ def new_texts(candidates: DataFrame, existing: DataFrame, text: str = "text") ->
     candidates share. A text repeated among the existing ones costs one row.
     """
     known = stage(existing.select(text).distinct(), "known-texts")
-    return candidates.join(known, text, "left_anti")
+    # A digest comes first among the keys: rows are ordered by it, and texts are
+    # only compared where it is equal.
+    digest = "_text_digest"
+    marked = known.withColumn(digest, F.xxhash64(text))
+    fresh = candidates.withColumn(digest, F.xxhash64(text)).join(marked, [digest, text], "left_anti")
+    return fresh.select(*candidates.columns)
 
 
 def confident_feedback(

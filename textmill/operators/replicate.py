@@ -6,6 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+# Buckets of files, whose totals are added up by the driver.
+_BUCKETS = 1024
+
+
 def _copies(k: Column | int) -> Column:
     """One row per copy number 0..k-1; no second table, no join, no shuffle."""
     last = (k if isinstance(k, Column) else F.lit(k)) - F.lit(1)
@@ -51,29 +55,41 @@ def _located(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _bucket() -> Column:
+    return F.pmod(F.xxhash64("_file"), F.lit(_BUCKETS))
+
+
 def _within_first(spark: SparkSession, path: str, n: int) -> Column:
-    """Whether a row belongs to the first n, in the order of file name and row number.
+    """Whether a row belongs to the first n, in the order of file bucket, file name and row number.
 
     That position is a property of the stored files, so it stays the same on a
-    retry or under another split of the scan. Only per-file counts (one row per
-    file, as many as the driver lists anyway) are ordered in one task.
+    retry or under another split of the scan. The cut is found on two levels:
+    the totals of `_BUCKETS` buckets of files, then the files of one bucket.
     """
     if n <= 0:
         return F.lit(False)
     files = _located(spark, path).groupBy("_file").agg(F.count("*").alias("_rows"))
-    through = F.sum("_rows").over(Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, 0))
+    files = files.withColumn("_bucket", _bucket())
+    totals = files.groupBy("_bucket").agg(F.sum("_rows").alias("_rows")).orderBy("_bucket")
+    before, cut = 0, None
+    for bucket, rows in totals.collect():  # at most one row a bucket
+        if before + rows >= n:
+            cut = bucket
+            break
+        before += rows
+    if cut is None:
+        return F.lit(True)
+    window = Window.partitionBy("_bucket").orderBy("_file").rowsBetween(Window.unboundedPreceding, 0)
     last = (
-        files.withColumn("_through", through)
+        files.filter(F.col("_bucket") == cut)
+        .withColumn("_through", F.sum("_rows").over(window) + before)
         .filter(F.col("_through") >= n)
         .orderBy("_file")
         .select("_file", (F.lit(n) - F.col("_through") + F.col("_rows")).alias("_part"))
         .first()
     )
-    if last is None:
-        return F.lit(True)
-    before = F.col("_file") < last["_file"]
-    # The first comparison alone lets the scan skip the files behind the cut.
-    return (F.col("_file") <= last["_file"]) & (before | (F.col("_row") < last["_part"]))
+    whole = (_bucket() < cut) | ((_bucket() == cut) & (F.col("_file") < last["_file"]))
+    return whole | ((F.col("_file") == last["_file"]) & (F.col("_row") < last["_part"]))
 
 
 def take_exact(spark: SparkSession, path: str, n: int) -> DataFrame:

@@ -14,6 +14,9 @@ from textmill.sources.tables import require_table
 # Fixed value.
 RETENTION_DAYS = 7
 
+_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+_DROPPED_AT_ONCE = 500
+
 
 def recent(
     df: DataFrame, as_of: str, days: int = RETENTION_DAYS, date_col: str = "date"
@@ -65,18 +68,29 @@ def retain(
     if stale:
         parts = tuple(c.name for c in spark.catalog.listColumns(name) if c.isPartition)
         if parts == (date_col,):
-            _drop_partitions(table, name, as_of, days, date_col)
+            _drop_partitions(spark, name, as_of, days, date_col)
         else:
             kept = recent(table, as_of, days, date_col)
             publish(kept, name, root, parts, keep_empty=True)
     return Retained(**counts, changed=stale)
 
 
-def _drop_partitions(table: DataFrame, name: str, as_of: str, days: int, date_col: str) -> None:
-    expired = table.select(date_col).filter(~within_days(F.col(date_col), as_of, days)).distinct()
-    # One row per expired day: a part of the partition list the catalog holds.
-    specs = ", ".join(f"PARTITION (`{date_col}` = {_quoted(r[0])})" for r in expired.collect())
-    table.sparkSession.sql(f"ALTER TABLE {name} DROP IF EXISTS {specs}")
+def _drop_partitions(spark: SparkSession, name: str, as_of: str, days: int, date_col: str) -> None:
+    """Drop what the catalog lists and the rule expires, some partitions a statement.
+
+    The table is external: its folders stay until whoever runs the warehouse
+    removes those that no table lists any more.
+    """
+    value = F.expr("substring(partition, locate('=', partition) + 1)")
+    value = F.when(value != _NULL_PARTITION, value)
+    listed = spark.sql(f"SHOW PARTITIONS {name}").select(value.alias("day"))
+    specs = [
+        f"PARTITION (`{date_col}` = {_quoted(r['day'])})"
+        for r in listed.filter(~within_days(F.col("day"), as_of, days)).toLocalIterator()
+    ]
+    for start in range(0, len(specs), _DROPPED_AT_ONCE):
+        some = ", ".join(specs[start : start + _DROPPED_AT_ONCE])
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {some}")
 
 
 def _quoted(value) -> str:

@@ -44,7 +44,7 @@ def _append_versions(
 ) -> None:
     typed = versions(raw)
     digest = F.md5(F.to_json(F.struct(*typed.columns)).cast("binary"))
-    marked = typed.withColumn("version", digest).withColumn("day", day_key(text=F.col("date")))
+    marked = typed.withColumn("version", digest).withColumn("day", day_key(text=F.col("date"), seconds=F.col("ts")))
     append_new(clean_stream(marked), path, checkpoint, [*KEYS, "version"])
 
 

@@ -81,8 +81,8 @@ class Medallion:
         )
 
     def replicate(self) -> int:
-        comments = replicate(self.table("silver_comments").drop("day"), COMMENT_COPIES)
-        posts = replicate(self.table("silver_posts").drop("day"), POST_COPIES)
+        comments = replicate(self.table("silver_comments").drop("day"), COMMENT_COPIES, shift="range")
+        posts = replicate(self.table("silver_posts").drop("day"), POST_COPIES, shift="range")
         return self._publish(comments, "gold_synthetic_comments") + self._publish(
             posts, "gold_synthetic_posts"
         )
@@ -100,7 +100,9 @@ class Medallion:
         scored = predict_class(model, self.table("gold_synthetic_comments"))
         rows = self._publish(scored, "gold_toxic_predictions")
         if rows:
-            fed = sampled_positives(self.table("gold_toxic_predictions"))
+            # Another day draws another sample.
+            seed = int(self.as_of.replace("-", ""))
+            fed = sampled_positives(self.table("gold_toxic_predictions"), seed=seed)
             append_training(fed, self.training, "logistic")
         return rows
 

@@ -6,7 +6,7 @@ from textmill.functions.dates import day_key
 from textmill.functions.labels import numeric_label
 from textmill.functions.text import one_line
 from textmill.operators.clean import clean_comments, clean_posts, training_rows, with_content
-from textmill.operators.dedup import earliest_by_key
+from textmill.operators.dedup import first_per_text
 from textmill.operators.retention import expiry, recent
 from textmill.queries import query
 from textmill.queries.inputs import labelled, raw_comments, raw_posts, table
@@ -57,7 +57,7 @@ def cleaned_comments(spark, folder):
 )
 def first_document_per_text(spark, folder):
     documents = table(spark, folder, "documents").select("doc_id", "text")
-    return earliest_by_key(documents, ("text",), ("doc_id",))
+    return first_per_text(documents, "text", ("doc_id",))
 
 
 @query("distinct_texts", "select distinct text, lang from documents")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from textmill.functions.dates import day_key
 from textmill.operators.clean import training_rows
-from textmill.operators.health import health, previews, row_counts, sample_rows
+from textmill.operators.health import health, list_tables, previews, row_counts, sample_rows
 from textmill.operators.retention import retain
 from textmill.plans.cycle import (
     clean_new_comments,
@@ -96,10 +96,9 @@ def json_line_files(spark, folder):
 
 @query(
     "training_csv_files",
-    r"""select text, cast(toxic as double) as label from (
-            select l.toxic, trim(regexp_replace(d.text, '[\n\r]', ' ', 'g')) as text
-            from documents d join labels l using (doc_id)) s
-        where text <> ''""",
+    """select d.text, cast(l.toxic as double) as label
+       from documents d join labels l using (doc_id)
+       where d.text is not null and l.toxic is not null""",
 )
 def training_csv_files(spark, folder):
     path = staging_path(spark, "csv")
@@ -199,17 +198,26 @@ def retained_table(spark, folder):
         [
             f"""select 'health_{t}' as "table",
                        case when count(*) > 0 then 'OK' else 'EMPTY' end as status,
-                       count(*) as rows from {t}"""
+                       count(*) as rows, '{t}.parquet' as location from {t}"""
             for t in HEALTH_TABLES
         ]
-        + ["""select 'health_missing', 'MISSING', cast(null as bigint)"""]
+        + ["""select 'health_missing', 'MISSING', cast(null as bigint), cast(null as varchar)"""]
     ),
 )
 def table_health(spark, folder):
     for name in HEALTH_TABLES:
         point_table(spark, f"health_{name}", f"{folder}/{name}.parquet")
     names = [f"health_{name}" for name in (*HEALTH_TABLES, "missing")]
-    return health(spark, names).drop("location")
+    # Where a table lies, without the folder of this run's tables.
+    last = F.regexp_extract("location", "[^/]+$", 0)
+    return health(spark, names).withColumn("location", F.when(last != "", last))
+
+
+@query("listed_tables", "select 'listed_documents' as name union all select 'listed_labels'")
+def listed_tables(spark, folder):
+    for name in ("documents", "labels"):
+        point_table(spark, f"listed_{name}", f"{folder}/{name}.parquet")
+    return list_tables(spark).filter("tableName like 'listed_%'").select(F.col("tableName").alias("name"))
 
 
 @query(
@@ -266,7 +274,8 @@ def streamed_clean_recent(spark, folder):
     timed = stream.withColumn("day", F.to_date("ts").cast("string"))
     cleaned = clean_stream(timed, "props").select("event_id", "props", "day")
     append_new(cleaned, f"{path}/rows", f"{path}/progress", ["event_id"])
-    return spark.read.schema("event_id bigint, props string").parquet(f"{path}/rows")
+    stored = spark.read.schema("event_id bigint, props string").parquet(f"{path}/rows")
+    return stored.select("event_id", "props")
 
 
 @query("cycled_posts", POSTS_SQL)

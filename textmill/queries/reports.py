@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from textmill.functions.stopwords import REPORT_STOP_WORDS
 from textmill.functions.text import ANY_SCRIPT, letter_words, one_line, stripped_words
 from textmill.operators.classify import class_counts
-from textmill.operators.dedup import earliest_by_key
+from textmill.operators.dedup import first_per_text
 from textmill.operators.words import (
     count_words,
     flagged,
@@ -125,7 +125,7 @@ def toxic_word_report(spark, folder):
         "doc_id", one_line(F.col("text")).alias("text")
     )
     toxic = table(spark, folder, "labels").filter("toxic = 1").select("doc_id")
-    firsts = earliest_by_key(documents, ("text",), ("doc_id",))
+    firsts = first_per_text(documents, "text", ("doc_id",))
     return frequent_stripped(firsts.join(toxic, "doc_id", "left_semi"), "text", STOP_WORDS)
 
 
