@@ -22,6 +22,7 @@ from textmill.llm import (
     license_scan,
     line_duplicates,
     near_duplicates,
+    oracles,
     quality,
     warc,
 )
@@ -92,7 +93,7 @@ def op4_language_model(spark: SparkSession, folder: str) -> DataFrame:
     return language_model.score(_table(spark, folder, "documents"), _remainder(7, 2))
 
 
-@_query("op8_decontamination")
+@_query("op8_decontamination", oracles.DECONTAMINATION)
 def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Words of every document that lie in a window of a benchmark item."""
     found = decontamination.contaminated(
@@ -100,7 +101,7 @@ def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
     items = F.concat_ws(",", "items").alias("items")
     return found.withColumn("items", items).select(
-        "doc_id", "n_words", "n_hit", "n_items", _digest("items").alias("items_sha256"), "contaminated", "near_items"
+        "doc_id", "n_words", "n_hit", "n_items", _digest("items").alias("items_sha256"), "contaminated"
     )
 
 
@@ -116,7 +117,7 @@ def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.classify(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
-@_query("op6_near_duplicates")
+@_query("op6_near_duplicates", oracles.NEAR_DUPLICATES)
 def op6_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     """Connected groups of documents of which 85 in 100 shingles are common."""
     return near_duplicates.groups(_table(spark, folder, "documents"))
