@@ -55,7 +55,7 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         payloads = [x or b"" for x in batch.column("_payload").to_pylist()]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("_id"), batch.column("_url"), pa.array([zlib.compress(p, 1) for p in payloads], pa.binary()),
+            [batch.column("_id"), batch.column("_url"), pa.array([zlib.compress(p, 6) for p in payloads], pa.binary()),
              pa.array(map(len, payloads), pa.int64()), pa.array(map(payload_digest, payloads), pa.string())],
             ["_id", "_url", "_packed", "_size", "_digest"],
         )
