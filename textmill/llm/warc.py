@@ -101,10 +101,11 @@ def write(
         _ids, "_digest string, _size bigint, _id bigint"
     )
     responses = stage(
-        ids.filter(F.col("_size") >= least).groupBy("_digest").agg(F.max("_id").alias("_response"), F.count("*").alias("_n")),
+        ids.filter(F.col("_size") >= least).groupBy("_digest").agg(F.max("_id").alias("_response"), F.count("*").alias("_n"))
+        .filter("_n > 1"),
         "warc-responses",
     )
-    shared = responses.filter("_n > 1").drop("_n")
+    shared = responses.drop("_n")
     joined = digested.join(shared, "_digest", "left").select("_id", "_url", "_packed", "_size", "_digest", "_response")
     records = joined.mapInArrow(_records, "record binary").select(F.col("record").cast("string"))
     records.write.option("lineSep", END).option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
