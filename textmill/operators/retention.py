@@ -82,6 +82,8 @@ def _drop_partitions(spark: SparkSession, name: str, as_of: str, days: int, date
     removes those that no table lists any more.
     """
     value = F.expr("substring(partition, locate('=', partition) + 1)")
+    # The list writes some characters as %XX.
+    value = F.url_decode(F.replace(value, F.lit("+"), F.lit("%2B")))
     value = F.when(value != _NULL_PARTITION, value)
     listed = spark.sql(f"SHOW PARTITIONS {name}").select(value.alias("day"))
     specs = [
