@@ -99,3 +99,29 @@ def test_bands_and_verification_find_like_texts(rows):
     got = {r.doc_id: r.group_id for r in ef.like_groups(prints).collect()}
     assert all(got[10 * k + i] == 10 * k for k in range(12) for i in range(5))
     assert got[201] == 200 and got[202] == 202
+
+
+def test_recall_of_like_pairs(spark, rows):
+    """All pairs whose fingerprints are like enough, with edits all over the text."""
+    pick = random.Random(21)
+    sizes = [10, 12, 15, 25, 40, 64, 130, 260, 2000]
+    data = []
+    for k in range(1800):
+        letters = [pick.choice("aabcddeefghiijklmnoopqrsttu   ") for _ in range(sizes[k % len(sizes)])]
+        edited = list(letters)
+        for at in pick.sample(range(len(letters)), max(1, int(pick.choice([0.01, 0.03, 0.06]) * len(letters)))):
+            edited[at] = pick.choice(["y", "z", letters[at] + "x", ""])
+        data += ["".join(letters), "".join(edited)]
+    prints = ef.fingerprints(*code_points(pa.array(data)))
+    likes = {k: ef.likeness(prints[2 * k], prints[2 * k + 1]) for k in range(1800)}
+    got = {r.doc_id: r.group_id for r in ef.like_groups(rows(list(enumerate(prints)), "doc_id bigint, fingerprint string")).collect()}
+    for short in (True, False):
+        wanted = [k for k, like in likes.items() if 0.8 <= like < 0.9 and (k % len(sizes) < 3) == short]
+        found = sum(got[2 * k] == got[2 * k + 1] for k in wanted)
+        assert len(wanted) >= 60 and found >= 0.95 * len(wanted), (short, found, len(wanted))
+
+
+def test_query_has_groups(spark):
+    from textmill.llm import queries
+
+    assert "group_id" in queries.op9_edit_fingerprints(spark, "/root/testdata/sf0.001").columns

@@ -36,6 +36,8 @@ from textmill.session import stage
 SAMPLES = 128
 # Samples of a band.
 BAND = 16
+# Texts of few samples also have narrow overlapping bands: so many samples, from one to the next.
+NARROW, FEW_SAMPLES = (4, 2), 60
 # Rounds in which all texts of a slice step together end when so few are left;
 # the rest walk on one by one.
 FEW = 64
@@ -290,6 +292,15 @@ def fingerprint_edits(df: DataFrame, id_col: str = "doc_id", text: str = "text")
     ).withColumnRenamed("_id", id_col)
 
 
+def _bands(digits: bytes) -> list[tuple[str, bytes]]:
+    """Where runs of the samples of a level begin, and the runs."""
+    kinds = [(BAND, BAND), NARROW] if len(digits) < FEW_SAMPLES else [(BAND, BAND)]
+    return [
+        (f"{width}:{at}", digits[at : at + width])
+        for width, stride in kinds for at in range(0, max(len(digits) - width, 0) + 1, stride)
+    ]
+
+
 def _band_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Keys of runs of sampled characters, at a text's own level and at the next coarser one."""
     for batch in batches:
@@ -299,20 +310,22 @@ def _band_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             samples = np.frombuffer(digits.encode(), np.uint8)
             for at in (int(level), int(level) + 1):
                 own = (samples[_coarser(int(level), at, len(samples))] if at > int(level) else samples).tobytes()
-                for band in range(max(len(own) // BAND, 1)):
-                    part = f"{at}:{band}:".encode() + own[band * BAND : (band + 1) * BAND]
+                for place, run in _bands(own):
+                    part = f"{at}:{place}:".encode() + run
                     nodes.append(node)
                     keys.append(int.from_bytes(hashlib.blake2b(part, digest_size=8).digest(), "little", signed=True))
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(nodes, pa.int64())], ["bucket", "node"])
 
 
-def like_groups(prints: DataFrame, id_col: str = "doc_id", least: float = 0.8) -> DataFrame:
-    """The id with group_id, the smallest id connected by fingerprints of a likeness of `least` or more.
+def with_groups(prints: DataFrame, id_col: str = "doc_id", least: float = 0.8) -> DataFrame:
+    """The rows with group_id, the smallest id connected by fingerprints of a likeness of `least` or more.
 
     Equal fingerprints are one class. Bands of BAND samples propose pairs of
-    classes, and all common samples verify them. Two texts whose samples agree
-    with probability p meet in one of n bands with probability 1 - (1 - p^BAND)^n.
+    classes, and all common samples verify them. Samples that differ come in runs,
+    until the walks are in step again, so that like texts have whole bands in
+    common far more often than if samples agreed independently.
     """
+    prints = stage(prints, "fingerprints")
     rows = prints.select(F.col(id_col).cast("bigint").alias("_id"), "fingerprint")
     classes = stage(
         rows.filter("_id is not null").groupBy("fingerprint").agg(F.min("_id").alias("node")), "fingerprint-classes"
@@ -332,5 +345,10 @@ def like_groups(prints: DataFrame, id_col: str = "doc_id", least: float = 0.8) -
 
     labels, _ = link_buckets(buckets, classes.select("node"), F.lit(True), confirm)
     member = classes.join(labels, "node", "left").select("fingerprint", F.coalesce("root", "node").alias("group_id"))
-    found = rows.join(member, "fingerprint", "left")
-    return found.select(F.col("_id").alias(id_col), F.when(F.col("_id").isNotNull(), F.col("group_id")).alias("group_id"))
+    found = prints.join(member, "fingerprint", "left")
+    return found.select(*prints.columns, F.when(F.col(id_col).isNotNull(), F.col("group_id")).alias("group_id"))
+
+
+def like_groups(prints: DataFrame, id_col: str = "doc_id", least: float = 0.8) -> DataFrame:
+    """The id with its group_id."""
+    return with_groups(prints, id_col, least).select(F.col(id_col).cast("bigint").alias(id_col), "group_id")

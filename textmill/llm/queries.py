@@ -107,8 +107,8 @@ def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query("op9_edit_fingerprints")
 def op9_edit_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
-    """Fingerprints of every document and of its edited text."""
-    return edit_fingerprints.fingerprint_edits(_table(spark, folder, "documents"))
+    """Fingerprints of every document and of its edited text, and the group of like documents."""
+    return edit_fingerprints.with_groups(edit_fingerprints.fingerprint_edits(_table(spark, folder, "documents")))
 
 
 @_query("op5_quality")
