@@ -46,3 +46,21 @@ NEAR_DUPLICATES = f"""
     g as (select a as doc_id, min(b) as component_id from r group by a)
     select doc_id, coalesce(n, 0) as n_shingles, component_id, doc_id = component_id as kept
     from g left join n using (doc_id)"""
+
+HARD_NEGATIVES = """
+    with e as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                      list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v
+               from embeddings
+               where label is not null and embedding is not null
+                 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+    s as (select a.vec_id as anchor_id, b.vec_id, a.label = b.label as same,
+                 cast(list_inner_product(a.v, b.v) as bigint) as score
+          from e a join e b on a.vec_id % 50 = 0 and a.vec_id <> b.vec_id),
+    p as (select anchor_id, vec_id as positive_id, score as positive_score from s where same
+          qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+    select anchor_id, positive_id,
+           cast(row_number() over (partition by anchor_id, positive_id order by score desc, vec_id) as integer) as rank,
+           vec_id as negative_id, positive_score, score as negative_score
+    from p join s using (anchor_id)
+    where not same and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score
+    qualify rank <= 3"""

@@ -17,6 +17,7 @@ from textmill.llm import (
     byte_pairs,
     decontamination,
     edit_fingerprints,
+    hard_negatives,
     language_id,
     language_model,
     license_scan,
@@ -24,6 +25,7 @@ from textmill.llm import (
     near_duplicates,
     oracles,
     quality,
+    shards,
     warc,
 )
 
@@ -141,3 +143,20 @@ def op10_line_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     documents = _table(spark, folder, "documents").select("doc_id", "text")
     kept = line_duplicates.drop_repeats(documents, removed="n_removed")
     return kept.select("doc_id", "n_removed", F.length("text").cast("bigint").alias("n_chars"), "text")
+
+
+@_query("op11_hard_negatives", oracles.HARD_NEGATIVES)
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard negatives of every fiftieth vector's nearest rows of its label."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(_table(spark, folder, "embeddings").withColumn("label", moved))
+
+
+@_query("op13_shards")
+def op13_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's shard of 24, of near equal bytes."""
+    placed = shards.place(_table(spark, folder, "documents"), 24)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), "virtual_slot", "map_version",
+    )
