@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from textmill.llm import (
     byte_pairs,
+    conversations,
     decontamination,
     edit_fingerprints,
     hard_negatives,
@@ -152,6 +153,20 @@ def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return hard_negatives.mine(_table(spark, folder, "embeddings").withColumn("label", moved))
 
 
+@_query("op12_conversations")
+def op12_conversations(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation's faults after planted damage, and its cheapest repair."""
+    table = _table(spark, folder, "conversations")
+    repaired = conversations.repair(conversations.damage(table)).withColumnRenamed("conv_id", "_conv")
+    every = table.select("conv_id").distinct()
+    found = every.join(repaired, every["conv_id"].eqNullSafe(repaired["_conv"]), "left")
+    counts = [F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in conversations.COUNTS]
+    return found.select(
+        "conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
+
+
 @_query("op13_shards")
 def op13_shards(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's shard of 24, of near equal bytes."""
