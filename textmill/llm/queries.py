@@ -153,7 +153,7 @@ def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return hard_negatives.mine(_table(spark, folder, "embeddings").withColumn("label", moved))
 
 
-@_query("op12_conversations")
+@_query("op12_conversations", oracles.CONVERSATIONS)
 def op12_conversations(spark: SparkSession, folder: str) -> DataFrame:
     """Every conversation's faults after planted damage, and its cheapest repair."""
     table = _table(spark, folder, "conversations")
