@@ -21,6 +21,7 @@ from textmill.operators.clean import training_rows
 from textmill.operators.health import health
 from textmill.operators.words import flagged, frequent_stripped
 from textmill.plans.cycle import (
+    broken_raw_files,
     clean_new_comments,
     clean_new_posts,
     current_scores,
@@ -30,38 +31,59 @@ from textmill.plans.medallion import TABLES, Medallion
 from textmill.schemas import RAW_COMMENTS, RAW_POSTS
 from textmill.session import file_bytes, session, sized_shuffles
 from textmill.sinks.files import append_training
-from textmill.sources.json_files import broken_files, read_json_arrays
+from textmill.sinks.ledger import append_once
+from textmill.sources.json_files import read_marked_arrays
 from textmill.sources.label_lines import read_label_lines
+from textmill.sources.raw_files import modified_after, raw_file_ages
 from textmill.sources.training_csv import malformed_records, read_training_csv
 
 
 def _run(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
-    job = Medallion(spark, args.root, args.training, args.as_of, args.days)
+    job = Medallion(spark, args.root, args.training, args.as_of, args.days, run_id=args.run_id)
+    fresh = _fresh(args)
     report = job.run(
-        read_json_arrays(spark, args.posts, RAW_POSTS),
-        read_json_arrays(spark, args.comments, RAW_COMMENTS),
+        read_marked_arrays(spark, args.posts, RAW_POSTS, **fresh),
+        read_marked_arrays(spark, args.comments, RAW_COMMENTS, **fresh),
         file_bytes(spark, args.posts, args.comments),
     )
-    broken = [
-        (name, "BROKEN FILES", n)
-        for name, path, schema in (
-            ("raw posts", args.posts, RAW_POSTS),
-            ("raw comments", args.comments, RAW_COMMENTS),
-        )
-        if (n := broken_files(spark, path, schema).count())
-    ]
-    report = report.union(spark.createDataFrame(broken, report.schema))
+    old = _left_out(spark, args)
     tables = health(spark, TABLES).select(
         F.col("table").alias("stage"), "status", F.col("rows").alias("rows")
     )
-    return report.unionByName(tables)
+    return report.union(old).unionByName(tables)
+
+
+def _fresh(args: argparse.Namespace) -> dict[str, str]:
+    """Reader options for the raw files that are not too old."""
+    return modified_after(_now(args), args.raw_days) if args.raw_days is not None else {}
+
+
+def _now(args: argparse.Namespace) -> datetime:
+    return datetime.fromisoformat(args.raw_as_of).astimezone(UTC) if args.raw_as_of else datetime.now(UTC)
+
+
+def _left_out(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    """`stage, status, rows`: how many raw files are too old to be read."""
+    report = "stage string, status string, rows bigint"
+    if args.raw_days is None:
+        return spark.createDataFrame([], report)
+    old = [
+        (name, "OLD FILES", raw_file_ages(spark, path, _now(args), args.raw_days).filter("not keep").count())
+        for name, path in (("raw posts", args.posts), ("raw comments", args.comments))
+    ]
+    return spark.createDataFrame([row for row in old if row[2]], report)
 
 
 def _cycle(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    fresh = _fresh(args)
     with sized_shuffles(spark, file_bytes(spark, args.posts, args.comments)):
-        clean_new_posts(spark, args.posts, args.root)
-        clean_new_comments(spark, args.comments, args.root)
+        clean_new_posts(spark, args.posts, args.root, **fresh)
+        clean_new_comments(spark, args.comments, args.root, **fresh)
         score_new_comments(spark, load(args.model), args.root)
+    for row in broken_raw_files(spark, args.root).groupBy("kind").count().collect():
+        print(f"{row['count']} broken files of {row['kind']} set aside")
+    for row in _left_out(spark, args).collect():
+        print(f"{row['rows']} files of {row['stage']} too old")
     return current_scores(spark, args.root).groupBy("is_toxic_pred").count()
 
 
@@ -73,7 +95,10 @@ def _training(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
             print(f"{malformed} malformed records left out")
     else:
         rows = read_label_lines(spark, args.label_lines)
-    append_training(rows, args.training, "base")
+    if args.run_id:
+        append_once(rows, args.training, "base", args.run_id)
+    else:
+        append_training(rows, args.training, "base")
     return spark.read.parquet(args.training).groupBy("origin", "is_destructive").count()
 
 
@@ -101,8 +126,14 @@ def parser() -> argparse.ArgumentParser:
     run = command("run", _run, "posts", "comments", "root", "training")
     run.add_argument("--as-of", default=datetime.now(UTC).strftime("%Y-%m-%d"))
     run.add_argument("--days", type=int, default=7)
-    command("cycle", _cycle, "posts", "comments", "root", "model")
-    source = command("training", _training, "training").add_mutually_exclusive_group(required=True)
+    cycle = command("cycle", _cycle, "posts", "comments", "root", "model")
+    for sub in (run, cycle):
+        sub.add_argument("--raw-days", type=int, help="leave out raw files that were not modified for so many days")
+        sub.add_argument("--raw-as-of", help="the moment that raw files' ages count from, if not now")
+    load_training = command("training", _training, "training")
+    for sub in (run, load_training):
+        sub.add_argument("--run-id", help="rows enter the training table once for a run")
+    source = load_training.add_mutually_exclusive_group(required=True)
     source.add_argument("--csv")
     source.add_argument("--label-lines")
     words = command("words", _words, "predictions")

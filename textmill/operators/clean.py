@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textmill.functions.dates import day_key
 from textmill.functions.labels import numeric_label
 from textmill.functions.text import is_content, one_line
 from textmill.operators.dedup import latest_by_key
@@ -52,14 +53,21 @@ POST_RECENCY = ("ts", "views", "date", "text")
 COMMENT_RECENCY = ("ts", "date", "text", "author_name", "post_id")
 
 
-def clean_posts(raw: DataFrame, keys: tuple[str, ...] = ("chat_id", "id")) -> DataFrame:
-    """`id, chat_id, date, text, views`, one row per key."""
-    return latest_by_key(post_versions(raw), keys, POST_RECENCY).drop("ts")
+def clean_posts(raw: DataFrame, keys: tuple[str, ...] = ("chat_id", "id"), day: str | None = None) -> DataFrame:
+    """`id, chat_id, date, text, views`, one row per key; with `day`, a column of that name says the day."""
+    return _dated(latest_by_key(post_versions(raw), keys, POST_RECENCY), day)
 
 
-def clean_comments(raw: DataFrame, keys: tuple[str, ...] = ("chat_id", "id")) -> DataFrame:
-    """`id, post_id, chat_id, author_name, date, text`, one row per key."""
-    return latest_by_key(comment_versions(raw), keys, COMMENT_RECENCY).drop("ts")
+def clean_comments(raw: DataFrame, keys: tuple[str, ...] = ("chat_id", "id"), day: str | None = None) -> DataFrame:
+    """`id, post_id, chat_id, author_name, date, text`, one row per key; with `day`, a column of that name says the day."""
+    return _dated(latest_by_key(comment_versions(raw), keys, COMMENT_RECENCY), day)
+
+
+def _dated(versions: DataFrame, day: str | None) -> DataFrame:
+    """Without `ts`, which is the day of a record whose date can't be read."""
+    if day is not None:
+        versions = versions.withColumn(day, day_key(text=F.col("date"), seconds=F.col("ts")))
+    return versions.drop("ts")
 
 
 def training_rows(df: DataFrame, text: str = "text") -> DataFrame:

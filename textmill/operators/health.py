@@ -11,17 +11,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textmill.functions.text import preview
+from textmill.sinks.publish import VERSION_PATTERN, parts_of
 
 _REPORT = "table string, status string, rows bigint, location string"
 
 
 def list_tables(spark: SparkSession) -> DataFrame:
-    """`namespace, tableName, isTemporary` of the current database."""
-    return spark.sql("SHOW TABLES")
+    """`namespace, tableName, isTemporary` of the current database, without the versions of published tables."""
+    return spark.sql("SHOW TABLES").filter(~F.col("tableName").rlike(VERSION_PATTERN))
 
 
 def location(spark: SparkSession, name: str) -> str | None:
-    """Where a table's files lie; null for a view."""
+    """Where a table's files lie, the first place of several; null for a view that was not published."""
+    parts = parts_of(spark, name)
+    name = parts[0].table if parts else name
     row = spark.sql(f"DESCRIBE EXTENDED {name}").filter("col_name = 'Location'").first()
     return row["data_type"] if row else None
 

@@ -8,9 +8,7 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from textmill.functions.dates import day_key
 from textmill.operators.classify import (
     forest,
     logistic,
@@ -23,10 +21,10 @@ from textmill.operators.clean import clean_comments, clean_posts, training_rows
 from textmill.operators.feedback import confident_feedback, sampled_positives
 from textmill.operators.replicate import replicate
 from textmill.operators.retention import RETENTION_DAYS, retain
-from textmill.schemas import TRAINING
 from textmill.session import sized_shuffles
-from textmill.sinks.files import append_training
+from textmill.sinks.ledger import append_once, read_training
 from textmill.sinks.publish import publish
+from textmill.sources.json_files import whole_records
 from textmill.sources.tables import require_table
 
 _LOG = logging.getLogger(__name__)
@@ -34,7 +32,7 @@ _LOG = logging.getLogger(__name__)
 # Copies of each cleaned table.
 COMMENT_COPIES = 5
 POST_COPIES = 3
-# The tables the job leaves.
+# The tables the job leaves. Their names must match.
 TABLES = (
     "silver_posts",
     "silver_comments",
@@ -49,8 +47,10 @@ TABLES = (
 class Medallion:
     """Runs the stages in order against one warehouse folder.
 
-    `training` is a Parquet folder of `text, is_destructive, origin`; feedback
-    is appended to it. Table names start with `prefix`.
+    `training` is a Parquet folder of `text, is_destructive, origin, run`; feedback
+    is appended to it, once for a `run_id` (the day if not given): running the
+    same run again, after a failure or not, learns from the same rows and
+    leaves the same ones. Table names start with `prefix`.
     """
 
     spark: SparkSession
@@ -59,7 +59,9 @@ class Medallion:
     as_of: str
     days: int = RETENTION_DAYS
     prefix: str = ""
+    run_id: str | None = None
     report: list[tuple[str, str, int | None]] = field(default_factory=list)
+    broken: dict[str, int] = field(default_factory=dict)
 
     def name(self, table: str) -> str:
         return self.prefix + table
@@ -73,12 +75,17 @@ class Medallion:
     # --- stages -------------------------------------------------------------
 
     def clean(self, raw_posts: DataFrame, raw_comments: DataFrame) -> int:
-        """Cleaned tables, partitioned by day so that retention prunes folders."""
-        day = day_key(text=F.col("date")).alias("day")
-        posts = self._publish(clean_posts(raw_posts).select("*", day), "silver_posts", ("day",))
-        return posts + self._publish(
-            clean_comments(raw_comments).select("*", day), "silver_comments", ("day",)
-        )
+        """Cleaned tables, partitioned by day so that retention prunes folders.
+
+        Broken files among marked raw frames are counted on the way.
+        """
+        with whole_records(raw_posts) as (records, broken):
+            posts = self._publish(clean_posts(records, day="day"), "silver_posts", ("day",))
+            self.broken["raw posts"] = broken()
+        with whole_records(raw_comments) as (records, broken):
+            comments = self._publish(clean_comments(records, day="day"), "silver_comments", ("day",))
+            self.broken["raw comments"] = broken()
+        return posts + comments
 
     def replicate(self) -> int:
         comments = replicate(self.table("silver_comments").drop("day"), COMMENT_COPIES, shift="range")
@@ -87,15 +94,23 @@ class Medallion:
             posts, "gold_synthetic_posts"
         )
 
-    def _fit(self, stages) -> PipelineModel:
-        return train(stages, training_rows(self.spark.read.schema(TRAINING).parquet(self.training)))
+    def _known(self, *own: str) -> DataFrame:
+        """The training rows as they were before this run added its own of these origins."""
+        return read_training(self.spark, self.training, (self.run_id or self.as_of, own))
+
+    def _feed(self, rows: DataFrame, origin: str) -> None:
+        """Rows for the training set, once a run."""
+        append_once(rows, self.training, origin, self.run_id or self.as_of)
+
+    def _fit(self, stages, *own: str) -> PipelineModel:
+        return train(stages, training_rows(self._known(*own)))
 
     def class_model(self) -> int:
         """Logistic regression over the replicated comments; a sample feeds back.
 
         Scores are written once and read back for the feedback.
         """
-        model = self._fit(logistic())
+        model = self._fit(logistic(), "logistic", "forest")
         save(model, f"{self.root}/models/logistic")
         scored = predict_class(model, self.table("gold_synthetic_comments"))
         rows = self._publish(scored, "gold_toxic_predictions")
@@ -103,20 +118,19 @@ class Medallion:
             # Another day draws another sample.
             seed = int(self.as_of.replace("-", ""))
             fed = sampled_positives(self.table("gold_toxic_predictions"), seed=seed)
-            append_training(fed, self.training, "logistic")
+            self._feed(fed, "logistic")
         return rows
 
     def score_model(self) -> int:
         """Random forest over the cleaned comments; confident new texts feed back."""
-        model = self._fit(forest())
+        model = self._fit(forest(), "forest")
         save(model, f"{self.root}/models/forest")
         scored = predict_score(model, self.table("silver_comments"))
         rows = self._publish(scored, "gold_rf_predictions")
         if rows:
             # The files are listed here, before the append adds to them.
-            known = self.spark.read.schema(TRAINING).parquet(self.training).select("text")
-            fed = confident_feedback(self.table("gold_rf_predictions"), known)
-            append_training(fed, self.training, "forest")
+            fed = confident_feedback(self.table("gold_rf_predictions"), self._known("forest").select("text"))
+            self._feed(fed, "forest")
         return rows
 
     def retain(self) -> int:
@@ -144,6 +158,7 @@ class Medallion:
         runs even if scoring fails. `size`: bytes of the raw files, for the shuffles."""
         with sized_shuffles(self.spark, size):
             cleaned = self._stage("clean", lambda: self.clean(raw_posts, raw_comments))
+            self.report += [(name, "BROKEN FILES", n) for name, n in self.broken.items() if n]
             copied = self._stage("replicate", self.replicate, cleaned)
             self._stage("class_model", self.class_model, copied)
             self._stage("score_model", self.score_model, cleaned)

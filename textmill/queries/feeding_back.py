@@ -13,6 +13,9 @@ from textmill.operators.feedback import (
 from textmill.operators.sample import TRAINING_FRACTIONS, sample_by_key, sample_sizes
 from textmill.queries import query
 from textmill.queries.inputs import SCORED_SQL, digest_in_sample_sql, labelled, scored, table
+from textmill.session import staging_path
+from textmill.sinks.files import append_training
+from textmill.sinks.ledger import append_once, read_training
 
 _CONTENT = "lower(trim(original_content)) <> 'nan' and length(trim(original_content)) > 1"
 _TOXIC = "toxicity_score > cast(0.85 as double)"
@@ -75,6 +78,24 @@ def feedback_of_sampled(spark, folder):
     return sampled_positives(predictions)
 
 
+@query(
+    "repeated_feedback",
+    f"""select original_content as text, 1 as is_destructive, 'logistic' as origin, run from ({SCORED_SQL}) p,
+               (values ('first'), ('second')) r(run)
+        where is_toxic_pred = 1 and {digest_in_sample_sql("id", 0.1)}""",
+)
+def feedback_of_repeated_runs(spark, folder):
+    """Of two runs, one stopped half-way and was made again, twice: every run's rows count once."""
+    path = staging_path(spark, "training")
+    append_training(labelled(spark, folder), path, "base")
+    fed = sampled_positives(scored(spark, folder).withColumnRenamed("original_content", "text"))
+    marked = fed.select("text", "is_destructive", F.lit("logistic").alias("origin"), F.lit("first").alias("run"))
+    marked.filter(F.crc32(F.col("text").cast("binary")) % 3 == 0).write.mode("append").parquet(path)
+    for run in ("first", "first", "second"):
+        append_once(fed, path, "logistic", run)
+    return read_training(spark, path).filter(F.col("origin") == "logistic")
+
+
 @query(
     "key_sample",
     f"select doc_id, lang from documents where {digest_in_sample_sql('doc_id', 0.3)}",

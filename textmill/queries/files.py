@@ -5,10 +5,11 @@ from datetime import UTC, datetime
 from pyspark.sql import functions as F
 
 from textmill.functions.dates import day_key
-from textmill.operators.clean import training_rows
+from textmill.operators.clean import clean_comments, training_rows
 from textmill.operators.health import health, list_tables, previews, row_counts, sample_rows
 from textmill.operators.retention import retain
 from textmill.plans.cycle import (
+    broken_raw_files,
     clean_new_comments,
     clean_new_posts,
     current_comments,
@@ -192,6 +193,72 @@ def retained_table(spark, folder):
     return spark.table("retained_events")
 
 
+@query(
+    "retained_files",
+    """select event_id, cast(cast(ts as date) as varchar) as day from events
+       where cast(ts as date) >= date '2024-01-20' - 7""",
+)
+def retained_files(spark, folder):
+    """As `retained_table`, of a table without partitions: only files with expired rows are read and written again."""
+    root = staging_path(spark, "retention")
+    events = table(spark, folder, "events").select("event_id", F.to_date("ts").cast("string").alias("day"))
+    publish(events.repartitionByRange(16, "day", "event_id"), "file_retained_events", root)
+    retain(spark, "file_retained_events", "2024-01-20", root, 7, "day")
+    return spark.table("file_retained_events")
+
+
+@query(
+    "retained_by_time",
+    """select id, cast(date '2024-01-01' + cast(turn as integer) as varchar) as day
+       from (select conv_id as id, max(turn) as turn from conversations group by conv_id) t
+       where date '2024-01-01' + cast(turn as integer) >= date '2024-01-12' - 7""",
+)
+def retained_by_time(spark, folder):
+    """Comments of which half have no date: their time gives the day that retention goes by."""
+    root = staging_path(spark, "retention")
+    comments = raw_comments(spark, folder)
+    seconds = F.unix_timestamp(F.to_timestamp("date"))
+    undated = F.when(F.col("comment_id") % 2 == 0, F.col("date"))
+    timed = comments.withColumns({"ts": seconds, "date": undated})
+    publish(clean_comments(timed, day="day"), "timed_comments", root, ("day",))
+    retain(spark, "timed_comments", "2024-01-12", root, 7, "day")
+    return spark.table("timed_comments").select("id", "day")
+
+
+@query(
+    "republished_table",
+    "select lang, source, count(*) as rows, cast(sum(n_chars) as bigint) as chars from documents group by lang, source",
+)
+def republished_table(spark, folder):
+    """A table published twice, the second time from itself, with a column and a partitioning more."""
+    root, name = staging_path(spark, "tables"), "republished_documents"
+    documents = table(spark, folder, "documents")
+    publish(documents.select("doc_id", "n_chars", "lang"), name, root)
+    more = require_table(spark, name).join(documents.select("doc_id", "source"), "doc_id")
+    publish(more, name, root, ("lang",))
+    return (
+        require_table(spark, name)
+        .groupBy("lang", "source")
+        .agg(F.count("*").alias("rows"), F.sum("n_chars").alias("chars"))
+    )
+
+
+@query("set_aside_files", "select doc_id from documents")
+def set_aside_files(spark, folder):
+    """All documents' ids in cut-off raw files, which the incremental clean sets aside with their contents."""
+    path = staging_path(spark, "cycle")
+    posts = table(spark, folder, "documents").select(F.col("doc_id").alias("post_id"))
+    write_json_batches(posts, f"{path}/whole", F.lit("2024-01-01"))
+    files = spark.read.text(f"{path}/whole", wholetext=True, recursiveFileLookup=True)
+    # Without the array's last bracket; every file stays a file of its own.
+    cut = files.select(F.rtrim("value", F.lit("]\n")).alias("value"), F.md5(F.col("value").cast("binary")).alias("file"))
+    cut.write.partitionBy("file").text(f"{path}/raw")
+    clean_new_posts(spark, f"{path}/raw", path)
+    kept = current_posts(spark, path).select("id")
+    ids = F.regexp_extract_all("content", F.lit('"post_id":([0-9]+)')).cast("array<bigint>")
+    return broken_raw_files(spark, path).select(F.explode(ids).alias("doc_id")).union(kept)
+
+
 @query(
     "table_health",
     "\nunion all\n".join(

@@ -29,11 +29,15 @@ RAW_COMMENTS = _struct(
     "text string, author_id bigint, author_name string, date string, ts bigint, "
     "reply_to_msg_id bigint, is_reply_to_user boolean"
 )
+# Raw files that held no whole JSON array.
+QUARANTINE = _struct("file string, content string")
 POSTS = _struct("id bigint, chat_id bigint, date string, text string, views bigint")
 COMMENTS = _struct(
     "id bigint, post_id bigint, chat_id bigint, author_name string, date string, text string"
 )
-TRAINING = _struct("text string, is_destructive int, origin string")
+# `run` is null for rows that no job appended.
+TRAINING = _struct("text string, is_destructive int, origin string, run string")
+LEDGER = _struct("run string, origin string, rows bigint, committed string")
 # What the incremental clean appends: every version of a message, marked and dated.
 POST_VERSIONS = _struct(
     "id bigint, chat_id bigint, date string, text string, views bigint, ts bigint, "
@@ -43,3 +47,10 @@ COMMENT_VERSIONS = _struct(
     "id bigint, post_id bigint, chat_id bigint, author_name string, date string, "
     "text string, ts bigint, version string, day string"
 )
+# The log of a state that is kept step by step.
+EPOCHS = _struct("epoch bigint, bucket int, base boolean, rows bigint")
+# Scored comment versions with what decides which of them is current.
+SCORED_VERSIONS = _struct(
+    "id bigint, post_id bigint, chat_id bigint, author_name string, date string, "
+    "text string, ts bigint, version string, day string, is_toxic_pred int"
+)

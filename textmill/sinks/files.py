@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from textmill.sources.training_csv import NULL
@@ -20,6 +21,16 @@ def balanced(df: DataFrame, *columns: str) -> DataFrame:
     return df.hint("rebalance", *columns)
 
 
+@contextmanager
+def counted(df: DataFrame) -> Iterator[tuple[DataFrame, Callable[[], int]]]:
+    """The frame, and a function that tells how many rows went through it once it was written.
+
+    The rows are counted on their way, so nothing is read for the count.
+    """
+    seen = Observation()
+    yield df.observe(seen, F.count(F.lit(1)).alias("rows")), lambda: seen.get["rows"]
+
+
 def write_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
     """Replace the files at a path."""
     writer = df.write.mode("overwrite")
