@@ -216,6 +216,27 @@ def test_forest_scores(spark, training):
     assert "Python" not in plan(scored)
 
 
+def test_a_forest_depends_on_the_rows_alone(spark):
+    """Equal trees from the same rows in other files and another order, a hot row among them."""
+    data = [(f"w{i % 37} x{i % 11} y{i % 5} {'bad' if i % 3 else 'fine'}", float(i % 3 > 0)) for i in range(900)]
+    data += [("the same words", 1.0)] * 2500
+    one = spark.createDataFrame(data, "text string, label double").repartition(7)
+    other = spark.createDataFrame(data[::-1], "text string, label double").coalesce(1).orderBy("text").repartition(3)
+    trees = [train(forest(features=200, trees=4, depth=4), df).stages[-1].toDebugString for df in (one, other)]
+    assert trees[0].split("\n")[1:] == trees[1].split("\n")[1:] and "If (feature" in trees[0]
+
+
+def test_training_rows_are_laid_out_evenly(spark):
+    from textmill.operators.classify import prepared
+
+    data = [(f"text {i}", 0.0) for i in range(5000)] + [("hot", 1.0)] * 5000 + [(None, 0.0)] * 10
+    with prepared(spark.createDataFrame(data, "text string, label double")) as rows:
+        sizes = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
+        counts = {(r.text, r.label): r["count"] for r in rows.groupBy("text", "label").count().collect()}
+    assert counts["hot", 1.0] == 5000 and counts[None, 0.0] == 10 and sum(counts.values()) == 10010
+    assert max(sizes) < 3000  # at most a few runs of the hot row in a part
+
+
 def test_training_on_nothing_is_an_error(training):
     with pytest.raises(ValueError):
         train(logistic(), training.filter("false").select("text", "label"))
