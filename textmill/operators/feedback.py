@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from textmill.functions.scores import CONFIDENT_THRESHOLD, surely_safe, surely_toxic
 from textmill.functions.text import is_content
+from textmill.operators.membership import without_known
 from textmill.operators.sample import sample_by_key
 from textmill.operators.words import flagged
-from textmill.session import stage
 
 
 def sampled_positives(
@@ -34,17 +34,9 @@ def confident_conflicts(scored: DataFrame, threshold: float = CONFIDENT_THRESHOL
 def new_texts(candidates: DataFrame, existing: DataFrame, text: str = "text") -> DataFrame:
     """The candidate rows whose text is not among the existing texts.
 
-    The existing texts are made distinct and written down first: then both
-    sides of the join are plain shuffles, and AQE can split a text that many
-    candidates share. A text repeated among the existing ones costs one row.
+    Only rows whose text may be known move; see `membership`.
     """
-    known = stage(existing.select(text).distinct(), "known-texts")
-    # A digest comes first among the keys: rows are ordered by it, and texts are
-    # only compared where it is equal.
-    digest = "_text_digest"
-    marked = known.withColumn(digest, F.xxhash64(text))
-    fresh = candidates.withColumn(digest, F.xxhash64(text)).join(marked, [digest, text], "left_anti")
-    return fresh.select(*candidates.columns)
+    return without_known(candidates, existing, text)
 
 
 def confident_feedback(
@@ -52,11 +44,9 @@ def confident_feedback(
 ) -> DataFrame:
     """`text, is_destructive` of confident rows whose text is not yet trained on.
 
-    Both sides hold each text once, so no text is hot in the join; it reuses
-    the partitioning of that grouping, so the texts are shuffled once.
+    Candidates hold each text once, so no text is hot in the join.
     """
-    candidates = _confident_texts(scored, threshold)
-    return _labels(candidates.join(existing.select("text").distinct(), "text", "left_anti"))
+    return _labels(without_known(_confident_texts(scored, threshold), existing))
 
 
 def _confident_texts(scored: DataFrame, threshold: float) -> DataFrame:

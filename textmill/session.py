@@ -60,10 +60,10 @@ def staging_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/textmill/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     """Write once and read back: cuts lineage and survives the loss of executors."""
     path = staging_path(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.write.partitionBy(*partition_by) if partition_by else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
