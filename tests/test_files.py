@@ -274,6 +274,24 @@ def test_health(spark, rows, tmp_path):
     spark.sql("DROP TABLE h_broken")
 
 
+def test_health_of_many_tables_takes_few_statements(spark, tmp_path, monkeypatch):
+    spark.range(3).write.parquet(str(tmp_path / "t"))
+    names = [f"many_{i}" for i in range(60)]
+    for name in names:
+        point_table(spark, name, str(tmp_path / "t"))
+    publish(spark.range(2), "many_published", str(tmp_path))
+    statements, real = [], type(spark).sql
+    monkeypatch.setattr(type(spark), "sql", lambda self, text, *a, **k: statements.append(text) or real(self, text, *a, **k))
+    report = {r.table: (r.status, r.rows, r.location) for r in health(spark, [*names, "many_published", "many_none"]).collect()}
+    assert len(statements) == 1
+    assert all(report[n][:2] == ("OK", 3) and report[n][2].endswith("/t") for n in names)
+    assert report["many_published"][:2] == ("OK", 2) and "/many_published/" in report["many_published"][2]
+    assert report["many_none"] == ("MISSING", None, None)
+    monkeypatch.undo()
+    for name in names:
+        spark.sql(f"DROP TABLE {name}")
+
+
 def test_samples_and_previews(rows):
     df = rows([(i, "x" * 200) for i in range(9, 0, -1)], "id int, text string")
     assert [r.id for r in sample_rows(df, "id").collect()] == [1, 2, 3]

@@ -73,7 +73,7 @@ def test_cycles_equal_the_batch_clean(spark, raw, tmp_path):
     assert spark.read.parquet(f"{root}/post_versions").count() == versions
 
 
-def test_commands(spark, raw, tmp_path):
+def test_commands(spark, raw, tmp_path, capsys):
     root, training = str(tmp_path / "w"), str(tmp_path / "training")
     (tmp_path / "lines.txt").write_text(
         "".join(f"__label__INSULT you trash {i}\n__label__NORMAL a lovely day {i}\n" for i in range(20))
@@ -117,5 +117,13 @@ def test_commands(spark, raw, tmp_path):
     assert [tuple(r) for r in main(["words", "--predictions", flagged]).collect()] == [("trash", 2)]
     status = {r.table: r.status for r in main(["health", "silver_posts", "nothing"]).collect()}
     assert status == {"silver_posts": "OK", "nothing": "MISSING"}
+    capsys.readouterr()
+    main(["health", "silver_posts", "--samples", "1"])
+    assert "--- silver_posts" in capsys.readouterr().out
+    times = main(["training-times", "--training", training]).collect()
+    assert times[-1].rows == 42 + spark.read.parquet(training).filter("origin not in ('base')").count()
+    spark.table("silver_comments").write.parquet(str(tmp_path / "messages"))
+    times = main(["scoring-times", "--model", model, "--messages", str(tmp_path / "messages"), "--rows", "10"]).collect()
+    assert [r.rows for r in times] == [2, 4, 6, 8, 10]
     with pytest.raises(SystemExit):
         main(["unknown"])

@@ -4,7 +4,9 @@ run        clean, replicate, train, score, feed back, retain; then a health repo
 cycle      clean and score only the raw files that are new
 training   add CSV files or label lines to the training table
 words      the top words of flagged messages
-health     existence and row counts of tables
+health     existence and row counts of tables, with samples if asked for
+training-times, scoring-times
+           how training and scoring times grow with the rows
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from pyspark.sql import functions as F
 from textmill.functions.stopwords import REPORT_STOP_WORDS
 from textmill.operators.classify import load
 from textmill.operators.clean import training_rows
-from textmill.operators.health import health
+from textmill.operators.health import health, sample_rows
 from textmill.operators.words import flagged, frequent_stripped
 from textmill.plans.cycle import (
     broken_raw_files,
@@ -28,10 +30,11 @@ from textmill.plans.cycle import (
     score_new_comments,
 )
 from textmill.plans.medallion import TABLES, Medallion
+from textmill.plans.scalability import SCORING_ROWS, scoring_times, training_times
 from textmill.schemas import RAW_COMMENTS, RAW_POSTS
 from textmill.session import file_bytes, session, sized_shuffles
 from textmill.sinks.files import append_training
-from textmill.sinks.ledger import append_once
+from textmill.sinks.ledger import append_once, read_training
 from textmill.sources.json_files import read_marked_arrays
 from textmill.sources.label_lines import read_label_lines
 from textmill.sources.raw_files import modified_after, raw_file_ages
@@ -108,7 +111,25 @@ def _words(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
 
 
 def _health(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
-    return health(spark, args.tables or None)
+    report = health(spark, args.tables or None)
+    if args.samples:
+        for row in report.filter("status = 'OK'").toLocalIterator():
+            rows = spark.table(row["table"])
+            order = args.order if args.order in rows.columns else rows.columns[0]
+            print(f"--- {row['table']}")
+            print(*rows.columns, sep="\t")
+            for found in sample_rows(rows, order, args.samples).collect():
+                print(*found, sep="\t")
+    return report
+
+
+def _training_times(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    rows = training_rows(read_training(spark, args.training))
+    return training_times(rows.withColumn("key", F.md5(F.col("text").cast("binary"))), "key")
+
+
+def _scoring_times(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    return scoring_times(spark, load(args.model), args.messages, args.rows, args.id)
 
 
 def parser() -> argparse.ArgumentParser:
@@ -139,7 +160,14 @@ def parser() -> argparse.ArgumentParser:
     words = command("words", _words, "predictions")
     words.add_argument("--text", default="original_content")
     words.add_argument("-k", type=int, default=15)
-    command("health", _health).add_argument("tables", nargs="*")
+    tables = command("health", _health)
+    tables.add_argument("tables", nargs="*")
+    tables.add_argument("--samples", type=int, default=0, help="print so many rows of each table")
+    tables.add_argument("--order", default="id", help="the column that picks them, if a table has it")
+    command("training-times", _training_times, "training")
+    scoring = command("scoring-times", _scoring_times, "model", "messages")
+    scoring.add_argument("--rows", type=int, default=SCORING_ROWS)
+    scoring.add_argument("--id", default="id")
     return top
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textmill.functions.text import preview
-from textmill.sinks.publish import VERSION_PATTERN, parts_of
+from textmill.sinks.publish import PARTS, VERSION, VERSION_PATTERN, quoted
 
 _REPORT = "table string, status string, rows bigint, location string"
 
@@ -21,38 +21,66 @@ def list_tables(spark: SparkSession) -> DataFrame:
     return spark.sql("SHOW TABLES").filter(~F.col("tableName").rlike(VERSION_PATTERN))
 
 
+def located(spark: SparkSession, names: Sequence[str]) -> DataFrame:
+    """`table, location` of those of the tables that exist, from one statement for each database.
+
+    A published table lies where its first version table does; the location is null for other views.
+    """
+    by_database: dict[str, list[str]] = {}
+    for name in names:
+        database, _, table = name.rpartition(".")
+        by_database.setdefault(database, []).append(table)
+    listings = []
+    for database, tables in by_database.items():
+        pattern = "|".join(f"{t}|{t}{VERSION}*" for t in tables)
+        inside = f" IN {database}" if database else ""
+        listed = spark.sql(f"SHOW TABLE EXTENDED{inside} LIKE {quoted(pattern)}")
+        prefix = F.lit(f"{database}." if database else "")
+        listings.append(listed.select(
+            F.concat(prefix, "tableName").alias("table"),
+            F.regexp_extract("information", r"(?m)^Location: (.*)$", 1).alias("own"),
+            F.regexp_extract("information", rf"{PARTS}=([^,\]]*)", 1).alias("part"),
+        ))
+    tables = reduce(DataFrame.union, listings)
+    versions = tables.filter(F.col("table").rlike(VERSION_PATTERN)).select(F.col("table").alias("part"), F.col("own").alias("there"))
+    found = tables.filter(~F.col("table").rlike(VERSION_PATTERN)).join(versions, "part", "left")
+    return found.select("table", F.nullif(F.coalesce("there", "own"), F.lit("")).alias("location"))
+
+
 def location(spark: SparkSession, name: str) -> str | None:
     """Where a table's files lie, the first place of several; null for a view that was not published."""
-    parts = parts_of(spark, name)
-    name = parts[0].table if parts else name
-    row = spark.sql(f"DESCRIBE EXTENDED {name}").filter("col_name = 'Location'").first()
-    return row["data_type"] if row else None
+    row = located(spark, [name]).first()
+    return row["location"] if row else None
 
 
 def health(spark: SparkSession, names: Sequence[str] | None = None) -> DataFrame:
     """`table, status, rows, location` with status OK, EMPTY, MISSING or ERROR.
 
-    Without names, the tables of the current database are checked. All tables
-    are counted by one query; only if that fails are they counted one by one,
-    to find the broken ones.
+    Without names, the tables of the current database are checked. However many
+    they are, one statement for each database lists them and one query counts
+    them; only if that fails are they counted one by one, to find the broken ones.
     """
     if names is None:
         names = [r["tableName"] for r in list_tables(spark).collect()]
-    present = [n for n in names if spark.catalog.tableExists(n)]
-    counted = _counts(spark, present)
+    if not names:
+        return spark.createDataFrame([], _REPORT)
+    present = {r["table"]: r["location"] for r in located(spark, names).collect()}
+    given = {name: name.lower() for name in names}  # the catalog lists names in lower case
+    counted = _counts(spark, [n for n in names if given[n] in present])
     if counted is None:
         counted = {}
-        for name in present:
-            counted.update(_counts(spark, [name]) or {})
+        for name in names:
+            if given[name] in present:
+                counted.update(_counts(spark, [name]) or {})
     report = []
     for name in names:
         rows = counted.get(name)
-        if name not in present:
+        if given[name] not in present:
             report.append((name, "MISSING", None, None))
         elif rows is None:
             report.append((name, "ERROR", None, None))
         else:
-            report.append((name, "OK" if rows else "EMPTY", rows, location(spark, name)))
+            report.append((name, "OK" if rows else "EMPTY", rows, present[given[name]]))
     return spark.createDataFrame(report, _REPORT)
 
 

@@ -23,7 +23,8 @@ from textmill.sinks.files import balanced, counted, write_parquet
 # Version tables end with this and 32 hexadecimal digits.
 VERSION = "__v_"
 VERSION_PATTERN = VERSION + "[0-9a-f]{32}$"
-_PARTS, _BEFORE, _WITHOUT = (f"textmill.{key}" for key in ("parts", "before", "without"))
+PARTS = "textmill.parts"
+_BEFORE, _WITHOUT = "textmill.before", "textmill.without"
 
 
 @dataclass(frozen=True)
@@ -76,7 +77,7 @@ def add_version(like: DataFrame, name: str, location: str, partition_by: tuple[s
 def parts_of(spark: SparkSession, name: str) -> list[Part]:
     """The version tables that a published name stands for; none for other tables and views."""
     properties = _properties(spark, name)
-    parts = {t: [] for t in properties.get(_PARTS, "").split(",") if t}
+    parts = {t: [] for t in properties.get(PARTS, "").split(",") if t}
     for key, value in properties.items():
         if key.startswith(_WITHOUT):
             table, _, file = value.partition("|")
@@ -109,7 +110,7 @@ def switch(spark: SparkSession, name: str, parts: Sequence[Part]) -> None:
     for part in parts:
         where = f" WHERE _metadata.file_path NOT IN ({', '.join(map(quoted, part.without))})" if part.without else ""
         selects.append(f"SELECT {columns} FROM {part.table}{where}")
-    properties = {_PARTS: ",".join(p.table for p in parts), _BEFORE: ",".join(before)}
+    properties = {PARTS: ",".join(p.table for p in parts), _BEFORE: ",".join(before)}
     files = [f"{p.table}|{file}" for p in parts for file in p.without]
     properties |= {f"{_WITHOUT}.{number}": value for number, value in enumerate(files)}
     listed = ", ".join(f"{quoted(k)} = {quoted(v)}" for k, v in properties.items())
