@@ -1,8 +1,8 @@
 """The newest row of every key, kept up to date step by step.
 
 Keys fall into buckets by hash. A step adds its rows as a delta of the buckets
-it touches; once a bucket's deltas outgrow a part of its base, the bucket is
-compacted into a new base. So a row is written a number of times that grows
+it touches; where a bucket's deltas would outgrow a part of its base, they make
+a new base with it. So a row is written a number of times that grows
 with the logarithm of its bucket, and a read resolves versions among the deltas
 and the base rows of the same keys only: all other base rows pass as they are.
 
@@ -76,10 +76,10 @@ class Newest:
 
     # --- reading ----------------------------------------------------------------------
 
-    def read(self, buckets: Sequence[int] | None = None) -> DataFrame:
-        """The newest row of each key, in some buckets or in all."""
+    def read(self) -> DataFrame:
+        """The newest row of each key."""
         # At most one base a bucket and the deltas since.
-        live = [r for r in self.live().collect() if buckets is None or r["bucket"] in buckets]
+        live = self.live().collect()
         base, deltas = self._rows(live, True), self._rows(live, False)
         if deltas is None:
             return base if base is not None else self.spark.createDataFrame([], self.schema)
@@ -93,23 +93,41 @@ class Newest:
     # --- writing ----------------------------------------------------------------------
 
     def add(self, rows: DataFrame) -> None:
-        """Take in a step's rows, then compact the buckets that ask for it."""
-        newest = latest_by_key(rows.select(*self.schema.names), self.keys, self.recency)
-        self._write(newest, base=False)
+        """Take in a step's rows: as a delta, or at once with a new base where the deltas outgrow the old one.
+
+        The rows are read twice, the first time for their keys alone.
+        """
+        rows = rows.select(*self.schema.names)
+        coming = rows.groupBy(self._bucket().alias("bucket")).agg(F.count("*").alias("coming"))
         sizes = self.live().groupBy("bucket").agg(
             F.coalesce(F.sum(F.when(F.col("base"), F.col("rows"))), F.lit(0)).alias("old"),
             F.coalesce(F.sum(F.when(~F.col("base"), F.col("rows"))), F.lit(0)).alias("new"),
         )
+        due = F.col("coming") + F.coalesce("new", F.lit(0)) > F.coalesce("old", F.lit(0)) * COMPACTED
         # At most `buckets` rows.
-        due = [r["bucket"] for r in sizes.filter(F.col("new") > F.col("old") * COMPACTED).collect()]
-        if due:
-            self._write(self.read(due), base=True)
+        touched = coming.join(sizes, "bucket", "left").select("bucket", due.alias("due")).collect()
+        full = [r["bucket"] for r in touched if r["due"]]
+        if len(full) < len(touched):
+            some = rows.filter(~self._bucket().isin(*full)) if full else rows
+            self._write(latest_by_key(some, self.keys, self.recency), base=False)
+        if full:
+            old, some = self._stored(full), rows.filter(self._bucket().isin(*full))
+            both = some if old is None else old.union(some)
+            self._write(latest_by_key(both, self.keys, self.recency), base=True)
+
+    def _bucket(self) -> F.Column:
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+
+    def _stored(self, buckets: Sequence[int]) -> DataFrame | None:
+        """All rows of some buckets, also those that are not the newest any more."""
+        live = [r for r in self.live().collect() if r["bucket"] in buckets]
+        found = [df for base in (True, False) if (df := self._rows(live, base)) is not None]
+        return reduce(DataFrame.union, found) if found else None
 
     def _write(self, rows: DataFrame, base: bool) -> None:
         number = self.epochs().agg(F.coalesce(F.max("epoch"), F.lit(-1)) + 1).first()[0]
         folder = f"{self.path}/{_name(number, None, base)}"
-        bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
-        marked = rows.withColumn(_BUCKET, bucket)
+        marked = rows.withColumn(_BUCKET, self._bucket())
         balanced(marked, _BUCKET).write.mode("overwrite").partitionBy(_BUCKET).parquet(folder)
         written = self.spark.read.schema(T.StructType([*self.schema.fields, T.StructField(_BUCKET, T.IntegerType())]))
         counts = written.parquet(folder).groupBy(F.col(_BUCKET).alias("bucket")).agg(F.count("*").alias("rows"))
