@@ -51,7 +51,8 @@ def maybe_known(df: DataFrame, text: str, known: DataFrame, bitmaps: int = BITMA
 def without_known(candidates: DataFrame, existing: DataFrame, text: str = "text", bitmaps: int = BITMAPS) -> DataFrame:
     """The candidate rows whose text is not among the existing texts; null texts are kept.
 
-    Candidates are written once, by whether they may be known; the known texts are read twice.
+    Candidates are written once, by whether they may be known. The existing
+    texts are read twice: stage them before if they are dear to compute.
     """
     known = existing.select(F.col(text).alias("_known"))
     split = maybe_known(candidates, text, sketch(known, "_known", bitmaps), bitmaps)

@@ -13,7 +13,7 @@ from textmill.operators.feedback import (
 from textmill.operators.sample import TRAINING_FRACTIONS, sample_by_key, sample_sizes
 from textmill.queries import query
 from textmill.queries.inputs import SCORED_SQL, digest_in_sample_sql, labelled, scored, table
-from textmill.session import staging_path
+from textmill.session import stage, staging_path
 from textmill.sinks.files import append_training
 from textmill.sinks.ledger import append_once, read_training
 
@@ -55,7 +55,8 @@ def conflicts_of_confident(spark, folder):
         where not exists (select 1 from ({_KNOWN}) k where k.text = c.text)""",
 )
 def feedback_of_confident(spark, folder):
-    return confident_feedback(scored(spark, folder), labelled(spark, folder))
+    known = stage(labelled(spark, folder).select("text"), "labelled")  # a join, and read twice
+    return confident_feedback(scored(spark, folder), known)
 
 
 @query(
