@@ -35,10 +35,14 @@ _KINDS = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "
           "BOOLEAN": "boolean"}
 
 
+def _hashable(value):
+    return tuple(map(_hashable, value)) if isinstance(value, list) else value
+
+
 def compare(spark, con, name: str, folder: str) -> str | None:
     """None if both engines agree, else what differs."""
     df = contract.queries()[name](spark, folder)
-    got = Counter(tuple(row[c] for c in sorted(df.columns)) for row in df.collect())
+    got = Counter(tuple(_hashable(row[c]) for c in sorted(df.columns)) for row in df.collect())
     sql = contract.oracle_sql().get(name)
     if sql is None:
         return None if got else "no rows"
@@ -50,7 +54,7 @@ def compare(spark, con, name: str, folder: str) -> str | None:
     if kinds != mine:
         return f"types {mine} against {kinds}"
     order = [rel.columns.index(c) for c in sorted(rel.columns)]
-    want = Counter(tuple(row[i] for i in order) for row in rel.fetchall())
+    want = Counter(tuple(_hashable(row[i]) for i in order) for row in rel.fetchall())
     if got != want:
         extra, lacking = got - want, want - got
         return (

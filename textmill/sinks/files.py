@@ -6,7 +6,9 @@ import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -86,19 +88,22 @@ def write_json_batches(df: DataFrame, path: str, day: Column, rows_per_file: int
 def _json_arrays(rows_per_file: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            days: dict[str | None, list[str]] = {}
-            for row in batch.to_pylist():
-                days.setdefault(row["date"], []).append(row["value"])
-            arrays = [
-                {
-                    "date": day,
-                    "batch": uuid.uuid4().hex,
-                    "value": "[" + ",\n".join(values[i : i + rows_per_file]) + "]",
-                }
-                for day, values in days.items()
-                for i in range(0, len(values), rows_per_file)
-            ]
-            yield pa.RecordBatch.from_pylist(arrays, _JSON_ARRAY)
+            if not batch.num_rows:
+                continue
+            days = batch.column(0).dictionary_encode()
+            number = np.array(days.indices.fill_null(len(days.dictionary)))
+            order = np.argsort(number, kind="stable")
+            number = number[order]
+            # A file begins with a day, and after so many rows of it.
+            first = np.flatnonzero(np.append(True, number[1:] != number[:-1]))
+            place = np.arange(len(number)) - np.repeat(first, np.diff(np.append(first, len(number))))
+            starts = np.flatnonzero(place % rows_per_file == 0)
+            offsets = pa.array(np.append(starts, len(number)).astype(np.int32))
+            values = pa.ListArray.from_arrays(offsets, batch.column(1).take(pa.array(order)))
+            joined = pc.binary_join_element_wise("[", pc.binary_join(values, ",\n"), "]", "")
+            names = pa.array([uuid.uuid4().hex for _ in starts])
+            dates = batch.column(0).take(pa.array(order[starts]))
+            yield pa.RecordBatch.from_arrays([dates, names, joined], schema=_JSON_ARRAY)
 
     return cut
 
