@@ -125,3 +125,28 @@ def test_query_has_groups(spark):
     from textmill.llm import queries
 
     assert "group_id" in queries.op9_edit_fingerprints(spark, "/root/testdata/sf0.001").columns
+
+
+def test_comparison_inside_the_join_loses_no_like_pair(spark):
+    """Texts of one level and of neighbouring ones, a few of which are like and many of which nearly."""
+    pick = random.Random(31)
+    texts = []
+    for size in (5, 20, 70, 126, 130, 254, 262, 1022, 1030):
+        base = [pick.choice("abcdefghij ") for _ in range(size)]
+        for share in (0, 0.02, 0.04, 0.06, 0.09, 0.15, 0.3):
+            letters = list(base)
+            for at in pick.sample(range(size), int(share * size)):
+                letters[at] = pick.choice(["", "q", letters[at] + "x"])
+            texts += ["".join(letters), "".join(letters) + "tail"]
+    prints = dict(enumerate(ef.fingerprints(*code_points(pa.array(texts)))))
+    frame = spark.createDataFrame(list(prints.items()), "node bigint, fingerprint string")
+    columns = ", ".join(f"{c} bigint" for c in ef._words())
+    marks = frame.mapInArrow(ef._packed, f"node bigint, level int, size0 int, size1 int, {columns}").cache()
+    sides = [marks.select(*[marks[c].alias(f"{c}_{side}") for c in marks.columns]) for side in "ab"]
+    met = sides[0].crossJoin(sides[1]).filter("node_a < node_b").filter(ef._may_be_like(0.8)).select("node_a", "node_b")
+    met = {tuple(r) for r in met.collect()}
+    pairs = [(a, b) for a in prints for b in prints if a < b]
+    like = {p for p in pairs if ef.likeness(prints[p[0]], prints[p[1]]) >= 0.8}
+    level = lambda i: prints[i].split(":")[0]
+    assert like <= met and any(level(a) != level(b) for a, b in like)
+    assert len(met) < len(like) + 0.02 * len(pairs)

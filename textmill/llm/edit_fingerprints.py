@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textmill.llm.buffers import bounded_slices, code_points, mix
@@ -34,6 +34,11 @@ from textmill.session import stage
 
 # A text keeps between SAMPLES and twice as many steps of its walk.
 SAMPLES = 128
+# Two characters of running text write the same digit about so often.
+CHANCE = 1 / 8
+# Bits of a sample, and 64-bit words of each at a text's own level and the next coarser one,
+# that pairs are compared by before they are written.
+PLANES, WORDS = "xy", (5, 3)
 # Samples of a band.
 BAND = 16
 # Texts of few samples also have narrow overlapping bands: so many samples, from one to the next.
@@ -194,8 +199,7 @@ def likeness(one: str, other: str) -> float:
     if not most:
         return 0.0
     agree = float((parts[0][:common] == parts[1][:common]).sum()) / most
-    chance = 1 / 8  # two characters of running text write the same digit about so often
-    return max(0.0, (agree - chance) / (1 - chance))
+    return max(0.0, (agree - CHANCE) / (1 - CHANCE))
 
 
 def _with_next(narrow: DataFrame) -> DataFrame:
@@ -301,27 +305,82 @@ def _bands(digits: bytes) -> list[tuple[str, bytes]]:
     ]
 
 
+def _own_and_coarser(fingerprint: str) -> tuple[int, tuple[np.ndarray, np.ndarray]]:
+    """A text's level, its samples there, and those of them that the next coarser level keeps."""
+    level, digits = fingerprint.split(":")
+    samples = np.frombuffer(digits.encode(), np.uint8)
+    return int(level), (samples, samples[_coarser(int(level), int(level) + 1, len(samples))])
+
+
 def _band_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Keys of runs of sampled characters, at a text's own level and at the next coarser one."""
     for batch in batches:
         nodes, keys = [], []
         for node, fingerprint in zip(batch.column("node").to_pylist(), batch.column("fingerprint").to_pylist()):
-            level, digits = fingerprint.split(":")
-            samples = np.frombuffer(digits.encode(), np.uint8)
-            for at in (int(level), int(level) + 1):
-                own = (samples[_coarser(int(level), at, len(samples))] if at > int(level) else samples).tobytes()
-                for place, run in _bands(own):
+            level, both = _own_and_coarser(fingerprint)
+            for at, samples in enumerate(both, level):
+                for place, run in _bands(samples.tobytes()):
                     part = f"{at}:{place}:".encode() + run
                     nodes.append(node)
                     keys.append(int.from_bytes(hashlib.blake2b(part, digest_size=8).digest(), "little", signed=True))
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(nodes, pa.int64())], ["bucket", "node"])
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sizes, and two bits of each sample as bits of 64-bit words, at both levels of a text."""
+    for batch in batches:
+        prints = batch.column("fingerprint").to_pylist()
+        levels_, sizes = np.zeros(len(prints), np.int32), np.zeros((2, len(prints)), np.int32)
+        bits = [np.zeros((len(PLANES), len(prints), 64 * words), np.uint8) for words in WORDS]
+        for row, fingerprint in enumerate(prints):
+            levels_[row], both = _own_and_coarser(fingerprint)
+            for which, samples in enumerate(both):
+                sizes[which, row] = len(samples)
+                first = samples[: 64 * WORDS[which]]
+                digit = np.where(first < ord("a"), first - ord("0"), first - ord("a") + 10)
+                for plane in range(len(PLANES)):
+                    bits[which][plane, row, : len(first)] = digit >> plane & 1
+        packed = [np.packbits(b, axis=2, bitorder="little").view("<i8") for b in bits]
+        words = [pa.array(p[plane, :, w].copy()) for p in packed for plane in range(len(PLANES)) for w in range(p.shape[2])]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("node"), pa.array(levels_), pa.array(sizes[0]), pa.array(sizes[1]), *words],
+            ["node", "level", "size0", "size1", *_words()],
+        )
+
+
+def _words() -> list[str]:
+    return [f"{plane}{which}{w}" for which in range(2) for plane in PLANES for w in range(WORDS[which])]
+
+
+def _may_be_like(least: float) -> Column:
+    """What any two texts of a likeness of `least` meet, at the coarser of their levels.
+
+    Samples whose bits differ are different ones, and a walk's samples beyond the
+    other's end agree with nothing, so both counts are bounded by the share of
+    samples that may disagree. Samples beyond the words are not looked at.
+    """
+
+    def meets(a: int, b: int) -> Column:
+        different = F.lit(0)
+        for word in range(min(WORDS[a], WORDS[b])):
+            either = F.lit(0).cast("bigint")
+            for plane in PLANES:
+                either = either.bitwiseOR(F.col(f"{plane}{a}{word}_a").bitwiseXOR(F.col(f"{plane}{b}{word}_b")))
+            different = different + F.bit_count(either)
+        sizes = F.col(f"size{a}_a"), F.col(f"size{b}_b")
+        most = F.floor(F.greatest(*sizes) * ((1 - least) * (1 - CHANCE)) + 1e-6)
+        return (F.abs(sizes[0] - sizes[1]) <= most) & (different <= most)
+
+    above = F.col("level_b") - F.col("level_a")
+    return F.when(above == 0, meets(0, 0)).when(above == 1, meets(1, 0)).when(above == -1, meets(0, 1)).otherwise(False)
+
+
 def with_groups(prints: DataFrame, id_col: str = "doc_id", least: float = 0.8) -> DataFrame:
     """The rows with group_id, the smallest id connected by fingerprints of a likeness of `least` or more.
 
     Equal fingerprints are one class. Bands of BAND samples propose pairs of
-    classes, and all common samples verify them. Samples that differ come in runs,
+    classes; two bits of their samples, compared inside the join, leave out what
+    can't be like, and all common samples verify the rest. Samples that differ come in runs,
     until the walks are in step again, so that like texts have whole bands in
     common far more often than if samples agreed independently.
     """
@@ -333,6 +392,11 @@ def with_groups(prints: DataFrame, id_col: str = "doc_id", least: float = 0.8) -
     bands = stage(classes.mapInArrow(_band_keys, "bucket bigint, node bigint"), "fingerprint-bands")
     shared = bands.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
     buckets = stage(bands.join(shared, "bucket").select("bucket", "node"), "fingerprint-buckets")
+    met = classes.join(buckets.select("node").distinct(), "node", "left_semi")
+    columns = ", ".join(f"{c} bigint" for c in _words())
+    marks = stage(
+        met.mapInArrow(_packed, f"node bigint, level int, size0 int, size1 int, {columns}"), "fingerprint-marks"
+    )
 
     @F.pandas_udf("double")
     def like(one: pd.Series, other: pd.Series) -> pd.Series:
@@ -343,7 +407,7 @@ def with_groups(prints: DataFrame, id_col: str = "doc_id", least: float = 0.8) -
             pairs = pairs.join(classes.select(F.col("node").alias(side), F.col("fingerprint").alias(f"print_{side}")), side)
         return pairs.filter(like("print_a", "print_b") >= least).select("a", "b")
 
-    labels, _ = link_buckets(buckets, classes.select("node"), F.lit(True), confirm)
+    labels, _ = link_buckets(buckets, marks, _may_be_like(least), confirm)
     member = classes.join(labels, "node", "left").select("fingerprint", F.coalesce("root", "node").alias("group_id"))
     found = prints.join(member, "fingerprint", "left")
     return found.select(*prints.columns, F.when(F.col(id_col).isNotNull(), F.col("group_id")).alias("group_id"))
