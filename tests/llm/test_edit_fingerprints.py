@@ -149,4 +149,5 @@ def test_comparison_inside_the_join_loses_no_like_pair(spark):
     like = {p for p in pairs if ef.likeness(prints[p[0]], prints[p[1]]) >= 0.8}
     level = lambda i: prints[i].split(":")[0]
     assert like <= met and any(level(a) != level(b) for a, b in like)
-    assert len(met) < len(like) + 0.02 * len(pairs)
+    # Samples beyond the other's end count only by their bits that are set.
+    assert len(met - like) < 0.01 * len(pairs)

@@ -36,9 +36,9 @@ from textmill.session import stage
 SAMPLES = 128
 # Two characters of running text write the same digit about so often.
 CHANCE = 1 / 8
-# Bits of a sample, and 64-bit words of each at a text's own level and the next coarser one,
-# that pairs are compared by before they are written.
-PLANES, WORDS = "xy", (5, 3)
+# All four bits of a sample, and 64-bit words of each at a text's own level and the next coarser
+# one, that pairs are compared by before they are written.
+PLANES, WORDS = "wxyz", (5, 3)
 # Samples of a band.
 BAND = 16
 # Texts of few samples also have narrow overlapping bands: so many samples, from one to the next.
@@ -327,7 +327,7 @@ def _band_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sizes, and two bits of each sample as bits of 64-bit words, at both levels of a text."""
+    """Sizes, and the four bits of each sample as bits of 64-bit words, at both levels of a text."""
     for batch in batches:
         prints = batch.column("fingerprint").to_pylist()
         levels_, sizes = np.zeros(len(prints), np.int32), np.zeros((2, len(prints)), np.int32)
@@ -379,7 +379,7 @@ def with_groups(prints: DataFrame, id_col: str = "doc_id", least: float = 0.8) -
     """The rows with group_id, the smallest id connected by fingerprints of a likeness of `least` or more.
 
     Equal fingerprints are one class. Bands of BAND samples propose pairs of
-    classes; two bits of their samples, compared inside the join, leave out what
+    classes; the bits of their samples, compared inside the join, leave out what
     can't be like, and all common samples verify the rest. Samples that differ come in runs,
     until the walks are in step again, so that like texts have whole bands in
     common far more often than if samples agreed independently.
