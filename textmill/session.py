@@ -26,6 +26,8 @@ SETTINGS = {
 }
 
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+# Shuffle files go when their statement ends, not at the driver's next garbage collection.
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 SHUFFLE_PART_BYTES = 128 * 1024 * 1024
 # Shuffled rows against compressed files, as a rule of thumb.
 ROWS_PER_FILE_BYTE = 3
@@ -61,10 +63,19 @@ def staging_path(spark: SparkSession, name: str) -> str:
 
 
 def stage(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
-    """Write once and read back: cuts lineage and survives the loss of executors."""
-    path = staging_path(df.sparkSession, name)
-    (df.write.partitionBy(*partition_by) if partition_by else df.write).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write once and read back: cuts lineage and survives the loss of executors.
+
+    What the write shuffled is removed with it: the written rows replace it.
+    """
+    spark = df.sparkSession
+    path = staging_path(spark, name)
+    before = spark.conf.get(DROP_SHUFFLES, None)
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        (df.write.partitionBy(*partition_by) if partition_by else df.write).parquet(path)
+    finally:
+        spark.conf.unset(DROP_SHUFFLES) if before is None else spark.conf.set(DROP_SHUFFLES, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def file_bytes(spark: SparkSession, *paths: str) -> int:
