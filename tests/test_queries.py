@@ -22,6 +22,13 @@ def test_query(spark, con, name):
     assert compare(spark, con, name, FOLDER) is None
 
 
+@pytest.mark.parametrize("name", ["streamed_clean"])
+def test_streams_over_a_table_of_several_files(spark, con, tmp_path, name):
+    for table in ("documents", "labels"):
+        spark.read.parquet(f"{FOLDER}/{table}.parquet").repartition(3).write.parquet(f"{tmp_path}/{table}.parquet")
+    assert compare(spark, con, name, str(tmp_path)) is None
+
+
 def test_entry(spark):
     words = contract.entry(spark)
     assert words.columns == ["word", "count"]

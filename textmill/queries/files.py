@@ -24,6 +24,7 @@ from textmill.queries.inputs import (
     raw_posts,
     scored,
     table,
+    table_stream,
 )
 from textmill.session import staging_path
 from textmill.sinks.files import (
@@ -322,9 +323,7 @@ def text_previews(spark, folder):
         from documents""",
 )
 def streamed_clean(spark, folder):
-    schema = table(spark, folder, "documents").schema
-    stream = new_files(spark, folder, schema, pathGlobFilter="documents.parquet")
-    cleaned = clean_stream(stream).select("doc_id", "text", "lang")
+    cleaned = clean_stream(table_stream(spark, folder, "documents")).select("doc_id", "text", "lang")
     path = staging_path(spark, "stream")
     append_new(cleaned, f"{path}/rows", f"{path}/progress", ["doc_id"], "lang")
     return spark.read.schema(cleaned.schema).parquet(f"{path}/rows")

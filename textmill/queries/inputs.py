@@ -8,12 +8,19 @@ from pyspark.sql import functions as F
 from textmill.functions.sampling import sample_bound
 from textmill.functions.scores import decision
 from textmill.functions.text import one_line
+from textmill.streaming.incremental import new_files
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def table_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A stream over the files of a table, which is one file or a folder of them."""
+    # A stream takes a single file by a pattern only.
+    return new_files(spark, f"{folder}/{name}.parque[t]", table(spark, folder, name).schema)
+
+
 def labelled(spark: SparkSession, folder: str) -> DataFrame:
     """`doc_id, text, is_destructive` of the documents with a label."""
     documents = table(spark, folder, "documents").select("doc_id", "text")
