@@ -22,7 +22,7 @@ def test_query(spark, con, name):
     assert compare(spark, con, name, FOLDER) is None
 
 
-@pytest.mark.parametrize("name", ["streamed_clean"])
+@pytest.mark.parametrize("name", ["streamed_clean", "streamed_score_agreement"])
 def test_streams_over_a_table_of_several_files(spark, con, tmp_path, name):
     for table in ("documents", "labels"):
         spark.read.parquet(f"{FOLDER}/{table}.parquet").repartition(3).write.parquet(f"{tmp_path}/{table}.parquet")

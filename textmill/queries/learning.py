@@ -31,11 +31,12 @@ from textmill.queries.inputs import (
     raw_comments,
     raw_posts,
     table,
+    table_stream,
     training,
 )
 from textmill.session import staging_path
 from textmill.sinks.files import append_training, write_parquet
-from textmill.streaming.incremental import new_files, run_available, score_stream
+from textmill.streaming.incremental import run_available, score_stream
 
 
 def _tokens_sql(pick: str = "tokens") -> str:
@@ -185,8 +186,7 @@ def reloaded_model_agreement(spark, folder):
 def streamed_score_agreement(spark, folder):
     """Scoring the documents as a stream gives the batch scores, for every document."""
     model = _fitted(spark, folder, logistic())
-    schema = table(spark, folder, "documents").schema
-    stream = new_files(spark, folder, schema, pathGlobFilter="documents.parquet")
+    stream = table_stream(spark, folder, "documents")
     scores = score_stream(model, stream.withColumnRenamed("doc_id", "id"))
     path = staging_path(spark, "stream-scores")
     run_available(scores.select("id", "is_toxic_pred"), f"{path}/rows", f"{path}/progress")
