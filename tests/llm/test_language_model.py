@@ -141,3 +141,22 @@ def test_empty_and_null_ids(rows):
     got = lm.score(rows([(None, "ab"), (None, "ab")], "doc_id bigint, text string"), HELD()).collect()
     assert [(r.doc_id, r.held_out, r.n_tokens, r.n_known) for r in got] == [(None, False, 2, 2)] * 2
     assert got[0].score == got[1].score < 0
+
+
+@pytest.mark.parametrize("limits", [{}, {"contexts": 0}, {"contexts": 40}])
+def test_all_contexts_get_children(rows, limits):
+    """More than 256 contexts of two bytes; those not sent to all tasks are joined."""
+    random = np.random.default_rng(3)
+    letters = np.frombuffer(b"abcdefghijklmnopqrstuvwxyz0123456789 ", np.uint8)
+    data = [(i, bytes(random.choice(letters, 300) if i % 3 else letters[:: i % 2 + 1]).decode() * 2) for i in range(40)]
+    counted, three = grams([t.encode() for i, t in data if not held(i)])
+    numbers = lm.expand(*counted, most=1 << 16)
+    assert numbers.max() > 256
+    deeper = {int(numbers[b << 8 | c]) << 16 | a << 8 | byte: n for (a, b, c, byte), n in three.items()}
+    keys = np.array(sorted(deeper), np.int64)
+    tree = lm.build_tree(counted, numbers, (keys, np.array([deeper[k] for k in keys.tolist()], np.int64)))
+    got = {r.doc_id: r.score for r in lm.score(rows(data, "doc_id bigint, text string"), HELD(), **limits).collect()}
+    for i, text in data:
+        codes = np.frombuffer(b"\0\0\0" + text.encode(), np.uint8)
+        want = tree.table[tree.rows(codes[2:-1], codes[1:-2], codes[:-3]), codes[3:]].astype(float).sum()
+        assert got[i] == pytest.approx(want, abs=1e-3)

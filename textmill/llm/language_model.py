@@ -7,10 +7,14 @@ is half its own estimate and half the product of its children's. Prediction
 mixes the estimates of all depths along a context with the resulting weights.
 
 Counts of (context, next byte) come from all training texts, added up in each
-task and then by key. The tree has all contexts of up to two bytes, and three
-below the `expanded` most frequent two-byte ones, so its size is bounded by the
-number of byte values, whatever the corpus: at most 65,536 + 256 x expanded
-rows of 256 numbers, 134 MB. That table goes to all tasks.
+task and then by key. The tree has all contexts of up to three bytes that occur.
+Its nodes below a two-byte context are weighed together, in the task that has
+that context; only sums by the last byte go to the driver, for the nodes of one
+byte and none. The table of predictions stays distributed, a row of 256 numbers
+for a context. The rows of the `contexts` most frequent three-byte contexts, and
+those that stand for the unseen ones below each two-byte context, go to all
+tasks: at most 65,536 of each, 134 MB. What other contexts predict meets the
+texts' remaining bytes in a join.
 
 Unigram counts are as many as there are distinct tokens. The `frequent` most
 frequent of them go to all tasks too; all others meet the documents' remaining
@@ -43,11 +47,15 @@ from textmill.llm.buffers import (
 )
 from textmill.session import stage
 
-# Two-byte contexts that get children, and tokens whose counts go to all tasks.
-EXPANDED = 256
+# Two-byte contexts there can be: all get children.
+PAIRS = 1 << 16
+# Three-byte contexts whose predictions, and tokens whose counts, go to all tasks.
+CONTEXTS = 1 << 16
 FREQUENT = 1 << 18
-# Tokens gathered in a task before they are counted.
-GATHERED = 1 << 22
+# Tokens gathered in a task before they are counted, and counts before they are passed on.
+GATHERED = 1 << 20
+# Bytes of text handled at once, and three-byte contexts weighed at once, or one two-byte context's.
+SLICE, WEIGHED = 1 << 19, 1 << 10
 
 _TOKEN, _GRAM = 0, 1
 
@@ -64,71 +72,61 @@ def _before(low: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, ...]:
     return tuple(out)
 
 
-def _cells(parts: list[np.ndarray], heads: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Counts of byte tuples as (key, count); key: the tuple's bytes, the last lowest.
+class _Tally:
+    """Counts by key, merged when many keys were gathered."""
 
-    `heads`: numbers below EXPANDED that come before the bytes.
-    """
-    if not len(parts[0]):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    used = np.flatnonzero(np.bincount(np.concatenate(parts), minlength=256))
-    rank = np.zeros(256, np.int64)
-    rank[used] = np.arange(len(used))
-    size = len(used)
-    index = np.zeros(len(parts[0]), np.int64) if heads is None else heads.astype(np.int64)
-    for part in parts:
-        index = index * size + rank[part]
-    counts = np.bincount(index)
-    cells = np.flatnonzero(counts)
-    key, rest, shift = np.zeros(len(cells), np.int64), cells.copy(), 0
-    for _ in parts:
-        key |= used[rest % size] << shift
-        rest //= size
-        shift += 8
-    return key | rest << shift, counts[cells]
-
-
-def _counted(hashes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    return np.unique(np.concatenate(hashes), return_counts=True)
+    def __init__(self) -> None:
+        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
+        self.size = 0
+
+    def add(self, values: np.ndarray) -> None:
+        self.parts.append(np.unique(values, return_counts=True))
+        self.size += len(self.parts[-1][0])
+        if self.size > GATHERED:
+            self.parts = [self.merged()]
+            self.size = len(self.parts[0][0])
+
+    def merged(self) -> tuple[np.ndarray, np.ndarray]:
+        keys, counts = (np.concatenate(x) for x in zip(*self.parts))
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        return keys[first], np.add.reduceat(counts[order], first)
+
+    def passed_on(self, kind: int, least: int = 0) -> Iterator[pa.RecordBatch]:
+        """The counts, if there are more than `least`; then it begins anew."""
+        if self.size > least:
+            yield _batch(kind, *self.merged())
+            self.__init__()
 
 
 def _batch(kind: int, keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys.view(np.int64)), pa.array(counts.astype(np.int64))],
+        [pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys.astype(np.uint64).view(np.int64)),
+         pa.array(counts.astype(np.int64))],
         ["kind", "key", "n"],
-    )
+    )
 
 
 def _count_corpus(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of tokens and of three-byte tuples in this task's texts."""
-    gathered: list[np.ndarray] = []
-    for batch in bounded_slices(batches, "_text"):
+    """Counts of tokens and of bytes after three others in this task's texts.
+
+    The key of a byte after others: second last, last, third last, the byte; so two-byte contexts lie together.
+    """
+    tokens, grams = _Tally(), _Tally()
+    for batch in bounded_slices(batches, "_text", SLICE):
         data, rows = text_buffer(batch.column("_text"))
+        if not len(data):
+            continue
         low = lower_bytes(data)
         starts, ends, _ = word_spans(low, rows, SPACE_SEPARATED)
-        gathered.append(word_hashes(low, starts, ends))
-        if sum(map(len, gathered)) > GATHERED:
-            yield _batch(_TOKEN, *_counted(gathered))
-            gathered = []
-        one, two, _ = _before(low, rows)
-        yield _batch(_GRAM, *_cells([two, one, low]))
-    if gathered:
-        yield _batch(_TOKEN, *_counted(gathered))
-
-
-def _count_deeper(numbers: np.ndarray):
-    """Counts of the bytes after three-byte contexts; numbers: of the expanded contexts, else -1."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in bounded_slices(batches, "_text"):
-            data, rows = text_buffer(batch.column("_text"))
-            low = lower_bytes(data)
-            one, two, three = _before(low, rows)
-            heads = numbers[two.astype(np.int64) << 8 | one]
-            at = np.flatnonzero(heads >= 0)
-            yield _batch(_GRAM, *_cells([three[at], low[at]], heads[at]))
-
-    return run
+        tokens.add(word_hashes(low, starts, ends))
+        one, two, three = (part.astype(np.uint32) for part in _before(low, rows))
+        grams.add(two << 24 | one << 16 | three << 8 | low)
+        yield from tokens.passed_on(_TOKEN, GATHERED // 2)
+        yield from grams.passed_on(_GRAM, GATHERED // 2)
+    yield from tokens.passed_on(_TOKEN)
+    yield from grams.passed_on(_GRAM)
 
 
 def _log_gamma(x: np.ndarray) -> np.ndarray:
@@ -203,64 +201,102 @@ class ContextTree:
         return np.where(head >= 0, self.three[np.maximum(head, 0) * 256 + three], self.two[context])
 
 
-def build_tree(grams: tuple[np.ndarray, np.ndarray], numbers: np.ndarray, deeper: tuple[np.ndarray, np.ndarray]) -> ContextTree:
-    """The mixture of all depths from counts of three-byte tuples and of those below expanded contexts."""
-    keys, counts = grams
-    seen2, at2 = np.unique(keys >> 8, return_inverse=True)
-    counts2 = np.zeros((len(seen2) + 1, 256))  # the last row: a context never seen
-    counts2[at2, keys & 255] = counts
-    seen3, at3 = np.unique(deeper[0] >> 8, return_inverse=True)  # head << 8 | byte
-    counts3 = np.zeros((len(seen3) + 1, 256))
-    counts3[at3, deeper[0] & 255] = deeper[1]
-    counts1 = np.zeros((256, 256))
-    np.add.at(counts1, seen2 & 255, counts2[:-1])
-    leaf, mid, low, root = (_Level(c) for c in (counts3, counts2, counts1, counts1.sum(0)[None]))
-    head2 = np.concatenate([numbers[seen2], [-1]])
-    row_of_head = np.zeros(EXPANDED + 1, np.int64)
-    row_of_head[head2[head2 >= 0]] = np.flatnonzero(head2 >= 0)
-    below = np.zeros_like(mid.one)
-    np.add.at(below, row_of_head[seen3 >> 8], leaf.log_weighted[:-1])
-    mid.weigh(below, head2 >= 0)
-    below = np.zeros_like(low.one)
-    np.add.at(below, seen2 & 255, mid.log_weighted[:-1])
+class _Weighed:
+    """Two- and three-byte contexts, the former with all that is below them.
+
+    From counts of three-byte tuples and of those below the contexts with `numbers`: number << 16 | byte << 8 | next.
+    """
+
+    def __init__(self, grams: tuple[np.ndarray, np.ndarray], numbers: np.ndarray, deeper: tuple[np.ndarray, np.ndarray]) -> None:
+        keys, counts = grams
+        self.seen2, at2 = np.unique(keys >> 8, return_inverse=True)
+        self.counts2 = np.zeros((len(self.seen2) + 1, 256))  # the last row: a context never seen
+        self.counts2[at2, keys & 255] = counts
+        self.seen3, at3 = np.unique(deeper[0] >> 8, return_inverse=True)  # head << 8 | byte
+        counts3 = np.zeros((len(self.seen3) + 1, 256))
+        counts3[at3, deeper[0] & 255] = deeper[1]
+        self.totals3 = counts3.sum(1)[:-1]
+        self.leaf, self.mid = _Level(counts3), _Level(self.counts2)
+        head2 = np.concatenate([numbers[self.seen2], [-1]])
+        self.row_of_head = np.zeros(int(numbers.max()) + 2, np.int64)
+        self.row_of_head[head2[head2 >= 0]] = np.flatnonzero(head2 >= 0)
+        below = np.zeros_like(self.mid.one)
+        np.add.at(below, self.row_of_head[self.seen3 >> 8], self.leaf.log_weighted[:-1])
+        self.mid.weigh(below, head2 >= 0)
+
+    def upper(self) -> tuple[np.ndarray, np.ndarray]:
+        """By last byte: counts of next bytes, and sums of the log weighted probabilities."""
+        counts1, below = np.zeros((256, 256)), np.zeros((256, 256))
+        np.add.at(counts1, self.seen2 & 255, self.counts2[:-1])
+        np.add.at(below, self.seen2 & 255, self.mid.log_weighted[:-1])
+        return counts1, below
+
+
+def _top(counts1: np.ndarray, below: np.ndarray) -> tuple[_Level, _Level]:
+    """The contexts of one byte and of none."""
+    low, root = _Level(counts1), _Level(counts1.sum(0)[None])
     low.weigh(below, np.ones(256, bool))
     root.weigh(low.log_weighted.sum(0)[None], np.ones(1, bool))
+    return low, root
+
+
+def _mixture(
+    top: tuple[_Level, _Level], bytes1: np.ndarray, below: _Weighed | None = None,
+    rows2: np.ndarray | None = None, rows3: np.ndarray | None = None,
+) -> np.ndarray:
+    """log10 probabilities of the next byte; without rows of `below`: after a two-byte context never seen."""
+    low, root = top
+    out = np.empty((len(bytes1), 256), np.float32)
+    for start in range(0, len(bytes1), 2048):
+        part = slice(start, start + 2048)
+        p = np.full((len(bytes1[part]), 256), 0.5) if rows2 is None else below.mid.one[rows2[part]]
+        if rows3 is not None:
+            share = below.mid.own_share[rows2[part]]
+            p = share * p + (1 - share) * below.leaf.one[rows3[part]]
+        share = low.own_share[bytes1[part]]
+        p = share * low.one[bytes1[part]] + (1 - share) * p
+        p = root.own_share * root.one + (1 - root.own_share) * p
+        out[part] = _byte_log10(p)
+    return out
+
+
+def _below_heads(top: tuple[_Level, _Level], below: _Weighed, heads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Predictions below numbered two-byte contexts: for a third byte never seen there, and for each that was."""
+    at3 = below.seen3 >> 8
+    unseen = np.full(len(heads), len(below.seen3))
+    return (
+        _mixture(top, heads & 255, below, below.row_of_head[: len(heads)], unseen),
+        _mixture(top, heads[at3] & 255, below, below.row_of_head[at3], np.arange(len(below.seen3))),
+    )
+
 
-    def mixture(bytes1: np.ndarray, rows2: np.ndarray, rows3: np.ndarray | None) -> np.ndarray:
-        out = np.empty((len(bytes1), 256), np.float32)
-        for start in range(0, len(bytes1), 2048):
-            part = slice(start, start + 2048)
-            p = mid.one[rows2[part]]
-            if rows3 is not None:
-                share = mid.own_share[rows2[part]]
-                p = share * p + (1 - share) * leaf.one[rows3[part]]
-            share = low.own_share[bytes1[part]]
-            p = share * low.one[bytes1[part]] + (1 - share) * p
-            p = root.own_share * root.one + (1 - root.own_share) * p
-            out[part] = _byte_log10(p)
-        return out
-
-    unseen2, unseen3 = len(seen2), len(seen3)
+def _numbered(numbers: np.ndarray) -> np.ndarray:
+    """The two-byte contexts in the order of their numbers."""
+    heads = np.flatnonzero(numbers >= 0)
+    return heads[np.argsort(numbers[heads])]
+
+
+def build_tree(grams: tuple[np.ndarray, np.ndarray], numbers: np.ndarray, deeper: tuple[np.ndarray, np.ndarray]) -> ContextTree:
+    """The mixture of all depths from counts of three-byte tuples and of those below expanded contexts."""
+    below, heads = _Weighed(grams, numbers, deeper), _numbered(numbers)
+    top, seen2 = _top(*below.upper()), below.seen2
     # Rows: one for each last byte (unseen contexts), seen contexts, those below expanded ones
     # (first, for each, the one for a byte that was never seen there).
-    heads = np.flatnonzero(numbers >= 0)
-    heads = heads[np.argsort(numbers[heads])]
     table = np.concatenate([
-        mixture(np.arange(256), np.full(256, unseen2), None),
-        mixture(seen2 & 255, np.arange(len(seen2)), None),
-        mixture(heads & 255, row_of_head[: len(heads)], np.full(len(heads), unseen3)),
-        mixture(heads[seen3 >> 8] & 255, row_of_head[seen3 >> 8], np.arange(len(seen3))),
+        _mixture(top, np.arange(256)),
+        _mixture(top, seen2 & 255, below, np.arange(len(seen2))),
+        *_below_heads(top, below, heads),
     ])
     two = np.arange(65536) & 255
     two[seen2] = 256 + np.arange(len(seen2))
     three = np.repeat(256 + len(seen2) + np.arange(len(heads)), 256)
-    three[seen3] = 256 + len(seen2) + len(heads) + np.arange(len(seen3))
+    three[below.seen3] = 256 + len(seen2) + len(heads) + np.arange(len(below.seen3))
     if not len(three):
         three = np.zeros(256, np.int64)
     return ContextTree(table, two.astype(np.int32), numbers, three.astype(np.int32))
 
 
-def expand(keys: np.ndarray, counts: np.ndarray, most: int = EXPANDED) -> np.ndarray:
+def expand(keys: np.ndarray, counts: np.ndarray, most: int = PAIRS) -> np.ndarray:
     """Numbers of the most frequent two-byte contexts, -1 for all others."""
     seen, at = np.unique(keys >> 8, return_inverse=True)
     totals = np.bincount(at, counts, len(seen)) if len(seen) else np.zeros(0)
@@ -270,16 +306,102 @@ def expand(keys: np.ndarray, counts: np.ndarray, most: int = EXPANDED) -> np.nda
     return numbers
 
 
-def _score_batches(shared, frequent: tuple[np.ndarray, np.ndarray]):
-    """Each text's context-tree score, its known tokens' logs, and the tokens left to look up."""
+def _by_heads(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[_Weighed, np.ndarray]]:
+    """Weighed two-byte contexts, and those contexts, from counts sorted by key that have each one's in a row."""
+
+    def weighed(keys: np.ndarray, counts: np.ndarray) -> tuple[_Weighed, np.ndarray]:
+        pairs, at = np.unique((keys >> 16) << 8 | keys & 255, return_inverse=True)
+        grams = pairs, np.bincount(at, counts, len(pairs))
+        numbers = np.full(PAIRS, -1, np.int32)
+        heads = np.unique(keys >> 16)
+        numbers[heads] = np.arange(len(heads))
+        return _Weighed(grams, numbers, (numbers[keys >> 16].astype(np.int64) << 16 | keys & 0xFFFF, counts)), heads
+
+    keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for batch in batches:
+        keys = np.concatenate([keys, batch.column("key").to_numpy()])
+        counts = np.concatenate([counts, batch.column("n").to_numpy()])
+        # Where a two-byte context begins, and how many three-byte ones lie before it.
+        starts = np.flatnonzero(np.append(True, keys[1:] >> 16 != keys[:-1] >> 16)) if len(keys) else keys
+        before = np.cumsum(np.append(False, keys[1:] >> 8 != keys[:-1] >> 8))[starts] if len(keys) else keys
+        done = 0
+        for i in range(1, len(starts)):
+            if i + 1 == len(starts) or before[i + 1] - before[np.searchsorted(starts, done)] > WEIGHED:
+                yield weighed(keys[done : starts[i]], counts[done : starts[i]])
+                done = starts[i]
+        keys, counts = keys[done:], counts[done:]
+    if len(keys):
+        yield weighed(keys, counts)
+
+
+def _sum_upper(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What this task's two-byte contexts add to those of one byte."""
+    counts1, below = np.zeros((256, 256)), np.zeros((256, 256))
+    for part, _ in _by_heads(batches):
+        counts, weights = part.upper()
+        counts1, below = counts1 + counts, below + weights
+    seen = np.flatnonzero(counts1.any(1))
+    cells = (seen[:, None] << 8 | np.arange(256)).ravel()
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(cells.astype(np.int64)), pa.array(counts1[seen].ravel()), pa.array(below[seen].ravel())],
+        ["cell", "n", "weight"],
+    )
+
+
+def _predictions(shared, least: int):
+    """A row of log10 probabilities for each context, byte -1: for third bytes never seen; of a context
+    with less than `least` bytes after it: what is to add to that row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for below, heads in _by_heads(batches):
+            unseen, seen = _below_heads(shared.value, below, heads)
+            head, totals = below.seen3 >> 8, below.totals3.astype(np.int64)
+            seen = np.where((totals < least)[:, None], seen - unseen[head], seen)
+            logs = np.concatenate([unseen, seen])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate([heads, heads[head]]).astype(np.int32)),
+                 pa.array(np.concatenate([np.full(len(heads), -1), below.seen3 & 255]).astype(np.int32)),
+                 pa.array(np.concatenate([np.zeros(len(heads), np.int64), totals])),
+                 list_array(logs.ravel(), np.arange(len(logs) + 1) * 256)],
+                ["head", "byte", "n", "logs"],
+            )
+
+    return run
+
+
+def _gathered_tree(top: tuple[_Level, _Level], rows: DataFrame) -> tuple[ContextTree, int]:
+    """The tree of the rows that go to all tasks, and the first row of a three-byte context in it."""
+    found = rows.orderBy(F.col("byte") >= 0, "head", "byte").toArrow()
+    head, byte = (found.column(c).to_numpy().astype(np.int64) for c in ("head", "byte"))
+    logs = found.column("logs").combine_chunks().flatten().to_numpy().reshape(-1, 256) if len(head) else np.zeros((0, 256))
+    heads = head[byte < 0]
+    numbers = np.full(PAIRS, -1, np.int32)
+    numbers[heads] = np.arange(len(heads))
+    three = np.repeat(256 + np.arange(max(1, len(heads))), 256)
+    listed = byte >= 0
+    three[numbers[head[listed]].astype(np.int64) << 8 | byte[listed]] = 256 + np.flatnonzero(listed)
+    table = np.concatenate([_mixture(top, np.arange(256)), logs.astype(np.float32)])
+    return ContextTree(table, (np.arange(PAIRS) & 255).astype(np.int32), numbers, three.astype(np.int32)), 256 + len(heads)
+
+
+def _score_batches(shared, frequent: tuple[np.ndarray, np.ndarray], listed: int):
+    """Each text's context-tree score, its known tokens' logs, and the tokens and bytes left to look up.
+
+    Bytes are left where the row of their context, below a seen one of two bytes, comes before `listed`.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree: ContextTree = shared.value
         hashes, logs = frequent
-        for batch in bounded_slices(batches, "_text"):
+        for batch in bounded_slices(batches, "_text", SLICE):
             data, rows = text_buffer(batch.column("_text"))
             low = lower_bytes(data)
-            values = tree.table[tree.rows(*_before(low, rows)), low].astype(np.float64)
+            one, two, three = _before(low, rows)
+            at_row = tree.rows(one, two, three)
+            values = tree.table[at_row, low].astype(np.float64)
+            deep = np.flatnonzero((at_row >= 256) & (at_row < listed))
+            grams = two[deep].astype(np.int64) << 24 | one[deep].astype(np.int64) << 16 | three[deep].astype(np.int64) << 8 | low[deep]
+            deep_rows = np.searchsorted(deep, rows)
             sums = np.concatenate([[0], np.cumsum(values)])
             starts, ends, firsts = word_spans(low, rows, SPACE_SEPARATED)
             words = word_hashes(low, starts, ends)
@@ -295,8 +417,8 @@ def _score_batches(shared, frequent: tuple[np.ndarray, np.ndarray]):
                 [batch.column("_row"), batch.column("_id"), batch.column("_held"),
                  pa.array(np.diff(rows)), pa.array(np.diff(firsts)),
                  pa.array(np.diff(known[firsts])), pa.array(np.diff(log_sums[firsts])),
-                 pa.array(np.diff(sums[rows])), list_array(signed(words[~found]), left)],
-                ["_row", "_id", "held_out", "n_bytes", "n_words", "n_known", "logs", "score", "rest"],
+                 pa.array(np.diff(sums[rows])), list_array(signed(words[~found]), left), list_array(grams, deep_rows)],
+                ["_row", "_id", "held_out", "n_bytes", "n_words", "n_known", "logs", "score", "rest", "deep"],
             )
 
     return run
@@ -308,9 +430,47 @@ def _gathered(df: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return table.column(0).to_numpy(), table.column(1).to_numpy()
 
 
+def _least(counts: DataFrame, most: int) -> tuple[int, int, int]:
+    """The least count `n` such that `most` rows at most have it or a greater one; the sum of counts, the rows."""
+    least, total, taken = 1 << 62, 0, 0
+    for n, many in counts.groupBy("n").agg(F.count("*").alias("many")).orderBy(F.desc("n")).toLocalIterator():
+        total, taken = total + n * many, taken + many
+        least = n if taken <= most else least
+    return least, total, taken
+
+
+def _trained(grams: DataFrame, contexts: int) -> tuple[ContextTree, int, DataFrame | None]:
+    """The tree for all tasks, the first row of a context of three bytes in it, and `context, logs` to add for the others, if any."""
+    spark = grams.sparkSession
+    # A two-byte context has 65,536 counts at most, and they lie in one task.
+    head = F.shiftright("key", 16)
+    by_heads = grams.repartition(head).sortWithinPartitions("key")
+    parts = by_heads.select("key", "n").mapInArrow(_sum_upper, "cell bigint, n double, weight double")
+    # Added up as decimals, whose sum doesn't depend on the order.
+    sums = parts.groupBy("cell").agg(
+        F.sum(F.col("n").cast("decimal(28,0)")).cast("double").alias("n"),
+        F.sum(F.col("weight").cast("decimal(28,8)")).cast("double").alias("weight"),
+    ).toArrow()
+    both = np.zeros((2, PAIRS))
+    both[:, sums.column("cell").to_numpy()] = sums.column("n").to_numpy(), sums.column("weight").to_numpy()
+    top = _top(*both.reshape(2, 256, 256))
+    totals = grams.groupBy(F.shiftright("key", 8).alias("context")).agg(F.sum("n").alias("n"))
+    least, _, found = _least(totals, contexts)
+    shared = spark.sparkContext.broadcast(top)
+    rows = stage(
+        by_heads.select("key", "n").mapInArrow(_predictions(shared, least), "head int, byte int, n bigint, logs array<float>"),
+        "lm-contexts",
+    )
+    tree, listed = _gathered_tree(top, rows.filter((F.col("byte") < 0) | (F.col("n") >= least)).select("head", "byte", "logs"))
+    if len(tree.table) - listed == found:
+        return tree, 0, None  # nothing to look up
+    context = (F.shiftleft("head", 8) + F.col("byte")).cast("bigint").alias("context")
+    return tree, listed, rows.filter((F.col("byte") >= 0) & (F.col("n") < least)).select(context, "logs")
+
+
 def score(
     df: DataFrame, held_out: F.Column, id_col: str = "doc_id", text: str = "text",
-    frequent: int = FREQUENT, expanded: int = EXPANDED,
+    frequent: int = FREQUENT, contexts: int = CONTEXTS,
 ) -> DataFrame:
     """Score all texts with a model of those that are not held out.
 
@@ -325,19 +485,12 @@ def score(
         training.mapInArrow(_count_corpus, kind).groupBy("kind", "key").agg(F.sum("n").alias("n")), "lm-counts"
     )
     tokens = counts.filter(F.col("kind") == _TOKEN).select("key", "n")
-    grams = _gathered(counts.filter(F.col("kind") == _GRAM).select("key", "n"))
-    numbers = expand(*grams, most=expanded)
-    deeper = _gathered(
-        training.mapInArrow(_count_deeper(numbers), kind).groupBy("key").agg(F.sum("n").alias("n"))
-    )
-    tree = spark.sparkContext.broadcast(build_tree(grams, numbers, deeper))
+    tree, listed, deeper = _trained(counts.filter(F.col("kind") == _GRAM).select("key", "n"), contexts)
+    shared = spark.sparkContext.broadcast(tree)
 
-    histogram = tokens.groupBy("n").agg(F.count("*").alias("tokens")).orderBy(F.desc("n"))
     ends = training.count()
-    total, distinct, least, taken = ends, int(ends > 0), 1 << 62, 0
-    for n, many in histogram.toLocalIterator():
-        total, distinct, taken = total + n * many, distinct + many, taken + many
-        least = n if taken <= frequent else least
+    least, total, distinct = _least(tokens, frequent)
+    total, distinct = total + ends, distinct + int(ends > 0)
     keys, many = _gathered(tokens.filter(F.col("n") >= least))
     order = np.argsort(keys.view(np.uint64))
     common = (keys.view(np.uint64)[order], np.log10(many[order] + 1.0))
@@ -345,9 +498,9 @@ def score(
     kind = texts.schema["_id"].dataType.simpleString()
     scored = stage(
         texts.withColumn("_row", F.monotonically_increasing_id()).mapInArrow(
-            _score_batches(tree, common),
+            _score_batches(shared, common, listed),
             f"_row bigint, _id {kind}, held_out boolean, n_bytes bigint, n_words bigint, n_known bigint, "
-            "logs double, score double, rest array<bigint>",
+            "logs double, score double, rest array<bigint>, deep array<bigint>",
         ),
         "lm-scores",
     )
@@ -361,9 +514,16 @@ def score(
             F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("_logs"),
         )
     )
+    if deeper is not None:
+        left = scored.select("_row", F.explode("deep").alias("key")).groupBy("_row", "key").agg(F.count("*").alias("times"))
+        more = (
+            left.withColumn("context", F.shiftright("key", 8)).join(deeper, "context").groupBy("_row")
+            .agg(F.sum(F.col("times") * F.get("logs", F.col("key").bitwiseAND(255).cast("int"))).alias("_more"))
+        )
+        scored = scored.join(more, "_row", "left").withColumn("score", F.col("score") + F.coalesce("_more", F.lit(0.0)))
     words = F.col("n_words") + 1
     logs = F.col("logs") + F.coalesce("_logs", F.lit(0.0)) + float(np.log10(ends + 1.0))
-    return scored.drop("rest").join(looked_up, "_row", "left").select(
+    return scored.drop("rest", "deep").join(looked_up, "_row", "left").select(
         F.col("_id").alias(id_col),
         "held_out",
         words.alias("n_tokens"),
