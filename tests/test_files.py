@@ -5,6 +5,7 @@ import os
 import time
 from datetime import UTC, datetime, timedelta
 
+import pyarrow as pa
 import pytest
 from conftest import final_plan, plan
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ from textmill.session import (
     staging_path,
 )
 from textmill.sinks.files import (
+    _json_arrays,
     append_training,
     append_training_csv,
     balanced,
@@ -145,6 +147,15 @@ def test_json_batches_are_arrays_below_dates(spark, rows, tmp_path):
     assert sorted(tuple(r) for r in back.collect()) == sorted(tuple(r) for r in df.collect())
 
 
+def test_json_batches_of_long_records_are_cut_in_pieces():
+    long = [json.dumps({"id": i, "text": "x" * (1 << 20)}) for i in range(12)]
+    batch = pa.RecordBatch.from_pydict({"date": ["2024-01-01"] * 12 + [None], "value": [*long, "{}"]})
+    cut = list(_json_arrays(500)(iter([batch, batch.slice(0, 0)])))
+    assert max(part.nbytes for part in cut) < 6 << 20
+    back = [record for part in cut for text in part.column("value").to_pylist() for record in json.loads(text)]
+    assert back == [*map(json.loads, long), {}]
+
+
 def test_day_buckets(spark, rows, tmp_path):
     path = str(tmp_path / "days")
     df = rows(

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from textmill.sources.training_csv import NULL
 
+# Bytes of records that a task cuts into arrays at once, and the record that goes beyond.
+PIECE = 4 << 20
 _JSON_ARRAY = pa.schema([(name, pa.string()) for name in ("date", "batch", "value")])
 
 
@@ -73,8 +75,9 @@ def write_day_buckets(df: DataFrame, path: str, day: Column) -> None:
 def write_json_batches(df: DataFrame, path: str, day: Column, rows_per_file: int = 500) -> None:
     """Files of one JSON array each, below `date=` folders, as collectors leave them.
 
-    Every task cuts its own rows into arrays, one Arrow batch at a time: no
-    shuffle, and no day or message repeated often can outgrow a file.
+    Every task cuts its own rows into arrays, `PIECE` bytes of an Arrow batch at a
+    time: no shuffle, no day or message repeated often can outgrow a file, and
+    long messages don't take more memory than short ones.
     """
     rows = df.select(day.alias("date"), F.to_json(F.struct("*")).alias("value"))
     (
@@ -85,11 +88,18 @@ def write_json_batches(df: DataFrame, path: str, day: Column, rows_per_file: int
     )
 
 
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches, PIECE bytes and a record at most at a time."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy().astype(np.int64))
+        starts = np.flatnonzero(np.diff(ends // PIECE, prepend=-1)) if len(ends) else []
+        for start, end in zip(starts, [*starts[1:], batch.num_rows]):
+            yield batch.slice(start, end - start)
+
+
 def _json_arrays(rows_per_file: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in _pieces(batches):
             days = batch.column(0).dictionary_encode()
             number = np.array(days.indices.fill_null(len(days.dictionary)))
             order = np.argsort(number, kind="stable")
