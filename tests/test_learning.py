@@ -21,6 +21,7 @@ from textmill.operators.classify import (
 from textmill.operators.clean import clean_posts
 from textmill.operators.dedup import latest_by_key
 from textmill.operators.features import (
+    COUNTED_BYTES,
     bucket_total,
     hashed_counts,
     inverse_document_frequency,
@@ -188,6 +189,13 @@ def test_term_features(rows):
     assert all(r.n == r.m for r in hashed.collect())
 
 
+def test_tasks_that_count_terms_follow_the_input(rows):
+    df = rows([(i, ["a", "b", "a"]) for i in range(50)], "id bigint, words array<string>")
+    counts = term_counts(df, "id", size=40 * COUNTED_BYTES - 1)
+    assert counts.rdd.getNumPartitions() == 40
+    assert counts.filter("tf = 2 and term = 'a' or tf = 1 and term = 'b'").count() == 100
+
+
 def test_hashed_idf_uses_the_same_formula(rows):
     from pyspark.ml.feature import IDF
 

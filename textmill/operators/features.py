@@ -8,6 +8,9 @@ from pyspark.ml.feature import HashingTF, StopWordsRemover, Tokenizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Bytes of compressed texts whose terms a task counts.
+COUNTED_BYTES = 4 << 20
+
 
 def tokenize(df: DataFrame, text: str = "text", out: str = "words") -> DataFrame:
     """Lower-case pieces between white space. Rows without a text go."""
@@ -34,15 +37,19 @@ def bucket_total(vector: str) -> F.Column:
     return F.aggregate(values, F.lit(0.0), lambda total, x: total + x)
 
 
-def term_counts(df: DataFrame, id_col: str, words: str = "words") -> DataFrame:
+def term_counts(df: DataFrame, id_col: str, words: str = "words", size: int = 0) -> DataFrame:
     """`id, term, tf` with the exact terms.
 
     Rows move once, by id, with their terms still in a list; as every group of
-    (id, term) is then in one task, the counts move no more.
+    (id, term) is then in one task, the counts move no more. A task keeps its
+    counts in memory, so that there are as many as `size` asks for, the bytes of
+    the files with the texts; without it Spark's settings decide.
     """
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = [max(usual, -(-size // COUNTED_BYTES))] if size else []
     return (
         df.select(id_col, words)
-        .repartition(id_col)
+        .repartition(*parts, id_col)
         .select(id_col, F.explode(words).alias("term"))
         .groupBy(id_col, "term")
         .agg(F.count("*").alias("tf"))

@@ -34,7 +34,7 @@ from textmill.queries.inputs import (
     table_stream,
     training,
 )
-from textmill.session import staging_path
+from textmill.session import file_bytes, staging_path
 from textmill.sinks.files import append_training, write_parquet
 from textmill.streaming.incremental import run_available, score_stream
 
@@ -111,7 +111,8 @@ def hashed_term_totals(spark, folder):
         group by doc_id, term""",
 )
 def counts_of_terms(spark, folder):
-    return term_counts(_tokens(spark, folder), "doc_id")
+    size = file_bytes(spark, f"{folder}/documents.parquet")
+    return term_counts(_tokens(spark, folder), "doc_id", size=size)
 
 
 @query(
