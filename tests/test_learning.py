@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from textmill.functions.scores import decision, surely_safe, surely_toxic
 from textmill.operators.classify import (
+    fitted,
     class_counts,
     forest,
     load,
@@ -258,6 +259,26 @@ def test_training_rows_are_laid_out_evenly(spark):
     assert max(sizes) < 3000  # at most a few runs of the hot row in a part
 
 
+@pytest.mark.parametrize("kind", [logistic, forest])
+def test_fitted_in_one_pass_over_the_texts(spark, kind):
+    """The same model as the pipeline's own fit; the texts are read by one job only."""
+    data = [(("The good Day " if i % 3 else "i BAD и Day ") * (i % 4 + 1), float(i % 3 == 0)) for i in range(60)]
+    reads = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(text):
+        reads.add(1)
+        return text
+
+    rows = spark.createDataFrame(data, "text string, label double").repartition(2).cache()
+    stages = kind(50)
+    own, once = stages.fit(rows), fitted(stages, rows.withColumn("text", counted("text")))
+    assert reads.value == len(data)
+    assert own.stages[-1].numFeatures == once.stages[-1].numFeatures
+    scores = [[(r.label, r.text, r.probability.toArray().tolist()) for r in m.transform(rows).collect()] for m in (own, once)]
+    assert scores[0] == scores[1]
+
+
 def test_training_on_nothing_is_an_error(training):
     with pytest.raises(ValueError):
         train(logistic(), training.filter("false").select("text", "label"))

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
-from textmill.operators.classify import logistic, predict_class, prepared
+from textmill.operators.classify import fitted, logistic, predict_class, prepared
 from textmill.operators.replicate import grow_to, take_exact
 from textmill.operators.sample import TRAINING_FRACTIONS, sample_by_key
 from textmill.session import cached, staging_path
@@ -35,7 +35,7 @@ def training_times(
             with prepared(sample_by_key(rows, key, fraction)) as part:
                 count = part.count()
                 start = time.perf_counter()
-                logistic(BENCH_FEATURES).fit(part)
+                fitted(logistic(BENCH_FEATURES), part)
                 seconds = time.perf_counter() - start
             results.append((count, seconds, count / seconds))
     return training.sparkSession.createDataFrame(results, _TIMES)
