@@ -2,6 +2,7 @@
 
 import json
 import os
+from pathlib import Path
 
 import pytest
 from conftest import final_plan, plan
@@ -40,6 +41,7 @@ from textmill.operators.feedback import (
 from textmill.operators.membership import maybe_known, sketch, without_known
 from textmill.plans.medallion import Medallion
 from textmill.plans.scalability import scoring_times, training_times
+from textmill.session import shared_root
 from textmill.schemas import RAW_COMMENTS, RAW_POSTS
 from textmill.sinks.files import append_training
 from textmill.sources.json_files import read_json_arrays
@@ -315,6 +317,15 @@ def base_training(training, path):
     append_training(training.select("text", F.col("label").cast("int").alias("is_destructive")), path, "base")
 
 
+def test_a_scored_part_has_work_for_all_cores(spark, model, tmp_path):
+    path = str(tmp_path / "messages")
+    spark.range(1000).select("id", F.concat(F.lit("text "), F.col("id").cast("string")).alias("text")).coalesce(1).write.parquet(path)
+    before = set(Path(shared_root(spark), "textmill").glob("scoring-*"))
+    assert scoring_times(spark, model, path, 2000, fractions=(0.2,)).first().rows == 400
+    (grown,) = set(Path(shared_root(spark), "textmill").glob("scoring-*")) - before
+    assert len(list(grown.glob("*.parquet"))) > spark.sparkContext.defaultParallelism / 0.2
+
+
 def test_medallion(spark, training, tmp_path):
     root = str(tmp_path)
     base_training(training, f"{root}/training")

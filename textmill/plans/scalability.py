@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import time
 from collections.abc import Sequence
 
@@ -12,12 +13,14 @@ from textmill.operators.classify import fitted, logistic, predict_class, prepare
 from textmill.operators.replicate import grow_to, take_exact
 from textmill.operators.sample import TRAINING_FRACTIONS, sample_by_key
 from textmill.session import cached, staging_path
-from textmill.sinks.files import balanced, discard
+from textmill.sinks.files import discard
 
 # Fixed values.
 BENCH_FEATURES = 2000
 SCORING_FRACTIONS = (0.2, 0.4, 0.6, 0.8, 1.0)
 SCORING_ROWS = 2_500_000
+# Files of the grown table: so many for a core in its smallest part, and of so many rows at most.
+_FILES, _FILE_ROWS = 4, 20_000
 
 _TIMES = "rows bigint, time_sec double, rows_per_sec double"
 
@@ -51,10 +54,12 @@ def scoring_times(
 ) -> DataFrame:
     """`rows, time_sec, rows_per_sec` of scoring parts of a stored table grown to a number of rows.
 
-    The grown table is written once; each part is an exact cut of its files.
+    The grown table is written once, in so many files that each part, an exact
+    cut of them, has work for all cores.
     """
     grown = staging_path(spark, "scoring")
-    balanced(grow_to(spark, messages, rows).select(id_col, "text")).write.parquet(grown)
+    files = max(math.ceil(spark.sparkContext.defaultParallelism * _FILES / min(fractions)), rows // _FILE_ROWS)
+    grow_to(spark, messages, rows).select(id_col, "text").repartition(files, id_col).write.parquet(grown)
     results = []
     for fraction in fractions:
         count = int(rows * fraction)
