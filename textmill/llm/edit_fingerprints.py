@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -37,8 +38,8 @@ SAMPLES = 128
 # Two characters of running text write the same digit about so often.
 CHANCE = 1 / 8
 # Bits of a sample, and 64-bit words of each at a text's own level and the next coarser one,
-# that pairs are compared by before they are written.
-PLANES, WORDS = "xy", (5, 3)
+# that pairs are compared by before they are written: by the first bits, then by all.
+PLANES, FIRST, WORDS = "xyzw", "xy", (5, 3)
 # Samples of a band.
 BAND = 16
 # Texts of few samples also have narrow overlapping bands: so many samples, from one to the next.
@@ -327,7 +328,7 @@ def _band_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sizes, and two bits of each sample as bits of 64-bit words, at both levels of a text."""
+    """Sizes, and the four bits of each sample as bits of 64-bit words, at both levels of a text."""
     for batch in batches:
         prints = batch.column("fingerprint").to_pylist()
         levels_, sizes = np.zeros(len(prints), np.int32), np.zeros((2, len(prints)), np.int32)
@@ -357,19 +358,27 @@ def _may_be_like(least: float) -> Column:
 
     Samples whose bits differ are different ones, and a walk's samples beyond the
     other's end agree with nothing, so both counts are bounded by the share of
-    samples that may disagree. Samples beyond the words are not looked at.
+    samples that may disagree. Samples beyond the words are not looked at. Two bits
+    leave out most pairs; all four, a pair that is only nearly like. These are looked at
+    by an array function, which keeps them out of the join's compiled code, too long for
+    the JVM to compile otherwise.
     """
 
-    def meets(a: int, b: int) -> Column:
-        different = F.lit(0)
+    def differing(planes: str, a: int, b: int) -> list[Column]:
+        out = []
         for word in range(min(WORDS[a], WORDS[b])):
             either = F.lit(0).cast("bigint")
-            for plane in PLANES:
+            for plane in planes:
                 either = either.bitwiseOR(F.col(f"{plane}{a}{word}_a").bitwiseXOR(F.col(f"{plane}{b}{word}_b")))
-            different = different + F.bit_count(either)
+            out.append(F.bit_count(either))
+        return out
+
+    def meets(a: int, b: int) -> Column:
+        some = reduce(Column.__add__, differing(FIRST, a, b))
+        every = F.aggregate(F.array(*differing(PLANES, a, b)), F.lit(0), lambda total, n: total + n)
         sizes = F.col(f"size{a}_a"), F.col(f"size{b}_b")
         most = F.floor(F.greatest(*sizes) * ((1 - least) * (1 - CHANCE)) + 1e-6)
-        return (F.abs(sizes[0] - sizes[1]) <= most) & (different <= most)
+        return (F.abs(sizes[0] - sizes[1]) <= most) & (some <= most) & (every <= most)
 
     above = F.col("level_b") - F.col("level_a")
     return F.when(above == 0, meets(0, 0)).when(above == 1, meets(1, 0)).when(above == -1, meets(0, 1)).otherwise(False)
@@ -379,8 +388,8 @@ def with_groups(prints: DataFrame, id_col: str = "doc_id", least: float = 0.8) -
     """The rows with group_id, the smallest id connected by fingerprints of a likeness of `least` or more.
 
     Equal fingerprints are one class. Bands of BAND samples propose pairs of
-    classes; two bits of their samples, compared inside the join, leave out what
-    can't be like, and all common samples verify the rest. Samples that differ come in runs,
+    classes; the bits of their samples, compared inside the join, leave out what
+    isn't like, and all common samples verify the rest. Samples that differ come in runs,
     until the walks are in step again, so that like texts have whole bands in
     common far more often than if samples agreed independently.
     """

@@ -7,7 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textmill.session import stage
+from textmill.session import drop_shuffles, stage
+
+
+# A round of leaders is worth another if it finds a link for so many open buckets at least.
+WORTH = 100
 
 
 def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -42,6 +46,19 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
+def _joined(labels: DataFrame, found: DataFrame) -> DataFrame:
+    """The labels after more links: these connect roots, so earlier links are not walked again."""
+    raised = found
+    for side in "ab":
+        own = labels.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}"))
+        raised = raised.join(own, side, "left")
+    raised = raised.select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b"))
+    lower = components(raised.filter("a <> b").distinct())
+    moved = labels.join(lower.select(F.col("node").alias("root"), F.col("root").alias("lower")), "root", "left")
+    new = lower.join(labels.select("node"), "node", "left_anti").select("node", "root")
+    return stage(moved.select("node", F.coalesce("lower", "root").alias("root")).union(new), "labels")
+
+
 def _pair_up(one: DataFrame, two: DataFrame, marks: list[str]) -> tuple[DataFrame, DataFrame]:
     """Both frames with `node`, `root` and the marks renamed for the sides a and b."""
     return tuple(
@@ -58,9 +75,9 @@ def link_buckets(
     `buckets` has bucket and node, `marks` a node's other columns; `alike` is a
     condition on those columns, with _a and _b after their names, that any link
     meets; `confirm` keeps the links among pairs `a, b`. In each round every bucket has one leader, another one each
-    time, that its members of other groups are compared with. At last all members
-    of different groups meet, so no link between groups is lost; a group's own
-    pairs are never made.
+    time, that its members of other groups are compared with; rounds that find little
+    are the last such. At last all members of different groups meet, so no link between
+    groups is lost; a group's own pairs are never made, and no pair is confirmed twice.
     """
     labels: DataFrame | None = None
     links: DataFrame | None = None
@@ -70,7 +87,11 @@ def link_buckets(
             return buckets.withColumn("root", F.col("node"))
         return buckets.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
+    known: DataFrame | None = None
+    leaders = rounds > 0
     for turn in range(rounds + 1):
+        if turn < rounds and not leaders:
+            continue
         nodes = labelled()
         spread = nodes.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"))
         mixed = stage(spread.filter("low <> high").select("bucket"), "mixed")
@@ -84,9 +105,17 @@ def link_buckets(
         if turn == rounds:
             pairs = pairs.filter("node_a < node_b")
         pairs = pairs.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
+        if known is not None:
+            pairs = pairs.join(known, ["a", "b"], "left_anti")
+        pairs = stage(pairs, "pairs")
+        drop_shuffles(pairs.sparkSession)
+        known = pairs if known is None else known.union(pairs)
         found = stage(confirm(pairs), "found")
-        if labels is not None and found.isEmpty():
-            continue
-        links = found if links is None else links.union(found)
-        labels = components(links)
+        drop_shuffles(found.sparkSession)
+        if labels is None:
+            links, labels = found, components(found)
+        elif not found.isEmpty():
+            links, labels = links.union(found), _joined(labels, found)
+        drop_shuffles(found.sparkSession)
+        leaders = WORTH * found.count() >= mixed.count()
     return labels, links
